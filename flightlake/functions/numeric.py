@@ -18,8 +18,9 @@ def nan_to_null(c: Column) -> Column:
 
 
 def finite(c: Column) -> Column:
-    """Null for NaN and both infinities."""
-    return F.when(F.abs(c) < F.lit(float("inf")), c)
+    """Null for NaN and both infinities; `c` is computed once."""
+    infinity = float("inf")
+    return F.nullif(F.nullif(F.nullif(c, F.lit(infinity)), F.lit(-infinity)), F.lit(float("nan")))
 
 
 def to_double(c: Column) -> Column:

@@ -50,10 +50,9 @@ def previous_day(now: Column) -> Column:
 
 def ingest_window_start(ts: Column, hours: int = WINDOW_HOURS) -> Column:
     """Start of the ingestion window holding `ts`; windows are counted from midnight."""
-    midnight = F.date_trunc("day", ts)
-    size = hours * 3600
-    passed = F.unix_timestamp(ts) - F.unix_timestamp(midnight)
-    return F.timestamp_seconds(F.unix_timestamp(midnight) + passed - F.pmod(passed, F.lit(size)))
+    seconds = F.unix_timestamp(ts)
+    into_window = F.pmod(F.pmod(seconds, F.lit(86400)), F.lit(hours * 3600))
+    return F.timestamp_seconds(seconds - into_window)
 
 
 def ingest_window_end(start: Column, hours: int = WINDOW_HOURS) -> Column:

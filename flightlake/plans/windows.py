@@ -42,17 +42,18 @@ def backfill_plan(days: DataFrame, day: str, hours: int = times.WINDOW_HOURS) ->
     )
 
 
-def label_batches(df: DataFrame, ts: str, hours: int = times.WINDOW_HOURS) -> DataFrame:
-    """Adds the window holding `ts`, its ingestion date and the name of its bronze batch."""
-    start = times.ingest_window_start(F.col(ts), hours)
-    labelled = df.withColumn("window_start", start)
-    end = times.ingest_window_end(F.col("window_start"), hours)
-    return labelled.withColumns(
-        {
-            "window_end": end,
-            "ingest_date": F.to_date("window_start"),
-            "bronze_file": times.window_label(F.col("window_start"), end),
-        }
+def window_counts(df: DataFrame, ts: str, hours: int = times.WINDOW_HOURS) -> DataFrame:
+    """Rows per ingestion window, with the window's ingestion date and bronze batch name.
+    Rows are counted by the window's start; only the counts get a name."""
+    started = df.select(times.ingest_window_start(F.col(ts), hours).alias("window_start"))
+    counts = started.groupBy("window_start").agg(F.count("*").alias("row_count"))
+    ended = counts.withColumn("window_end", times.ingest_window_end(F.col("window_start"), hours))
+    return ended.select(
+        F.to_date("window_start").alias("ingest_date"),
+        "window_start",
+        "window_end",
+        times.window_label(F.col("window_start"), F.col("window_end")).alias("bronze_file"),
+        "row_count",
     )
 
 

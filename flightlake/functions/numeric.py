@@ -9,7 +9,7 @@ from flightlake.functions.text import strip
 
 # Spark's own parser also takes 1d, 1f, hex floats, NaN and Infinity. None of these can be
 # spelled with the characters of a plain decimal number, so the alphabet is check enough;
-# the grammar is left to try_cast.
+# the grammar is left to try_cast, for which the empty text of a mismatch is no number.
 DECIMAL_ALPHABET = r"^[0-9+\-.eE]+$"
 
 
@@ -18,15 +18,15 @@ def nan_to_null(c: Column) -> Column:
 
 
 def finite(c: Column) -> Column:
-    """Null for NaN and both infinities; `c` is computed once."""
-    infinity = float("inf")
-    return F.nullif(F.nullif(F.nullif(c, F.lit(infinity)), F.lit(-infinity)), F.lit(float("nan")))
+    """Null for NaN and both infinities."""
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
 
 
 def to_double(c: Column) -> Column:
-    """Number or null, never an error and never NaN or infinity."""
-    text = strip(c)
-    return finite(F.when(text.rlike(DECIMAL_ALPHABET), text.try_cast("double")))
+    """Number or null, never an error and never NaN or infinity. Mentions `c` as few times
+    as possible: a filter on a result is pushed down as a copy of the whole expression."""
+    plain = F.regexp_extract(strip(c), DECIMAL_ALPHABET, 0)
+    return finite(plain.try_cast("double"))
 
 
 def non_negative(c: Column) -> Column:

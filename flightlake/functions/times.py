@@ -14,7 +14,7 @@ WINDOW_HOURS = 2
 
 
 def epoch_to_timestamp(seconds: Column) -> Column:
-    in_range = seconds.between(float(-MAX_EPOCH_SECONDS), float(MAX_EPOCH_SECONDS))
+    in_range = F.abs(seconds) <= F.lit(float(MAX_EPOCH_SECONDS))
     return F.timestamp_seconds(F.when(in_range, seconds))
 
 

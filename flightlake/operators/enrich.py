@@ -73,7 +73,8 @@ def _join_role(flights, lookup, code_column, renames, small, salts) -> DataFrame
     # A busy airport, or flights without one, may hold much of the table. The salt comes from
     # the row itself, so a retried task sends every row where the first try sent it.
     salted = flights.withColumn("_salt", F.pmod(F.xxhash64(*flights.columns), F.lit(salts)))
-    copies = role.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
+    copies = role.withColumn("_salt", F.explode(every_salt))
     return salted.join(copies, [code_column, "_salt"], "left").drop("_salt")
 
 

@@ -165,7 +165,7 @@ def window_backfill_plan(lake: Lakehouse) -> DataFrame:
 
 
 def backfill_coverage(lake: Lakehouse) -> DataFrame:
-    departed = lake.clean.where(F.col("departure_time").isNotNull())
+    departed = lake.silver.where(F.col("departure_time").isNotNull())
     counts = windows.window_counts(departed, "departure_time").select("bronze_file", "row_count")
     days = departed.select(F.to_date("departure_time").alias("day")).distinct()
     return windows.plan_coverage(windows.backfill_plan(days, "day"), counts)

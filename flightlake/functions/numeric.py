@@ -17,19 +17,17 @@ def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def finite(c: Column) -> Column:
-    """Null for NaN and both infinities."""
-    return F.when(F.abs(c) < F.lit(float("inf")), c)
+def infinity_to_null(c: Column) -> Column:
+    """nullif, unlike when, computes its argument once."""
+    infinity = float("inf")
+    return F.nullif(F.nullif(c, F.lit(infinity)), F.lit(-infinity))
 
 
 def to_double(c: Column) -> Column:
-    """Number or null, never an error and never NaN or infinity.
-
-    Whole numbers, which is what epochs and counts are, take the cheap way. Mentions `c` as
-    few times as possible: a filter on a result is pushed down as a copy of the expression.
-    """
+    """Number or null, never an error and never NaN or infinity. Mentions `c` as few times
+    as possible: a filter on a result is pushed down as a copy of the whole expression."""
     plain = F.regexp_extract(strip(c), DECIMAL_ALPHABET, 0)
-    return F.coalesce(c.try_cast("bigint").cast("double"), finite(plain.try_cast("double")))
+    return infinity_to_null(plain.try_cast("double"))
 
 
 def non_negative(c: Column) -> Column:

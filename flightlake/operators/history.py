@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from flightlake.operators.traffic import enforce_schema
 from flightlake.schemas import GoldTable
 from flightlake.session import parse_day
-from flightlake.sources.tables import read_dated, write_dated
+from flightlake.sources.tables import read_date, read_dated, write_dated
 
 
 def ranking_order(table: GoldTable) -> list[Column]:
@@ -54,6 +54,10 @@ def read_gold(spark: SparkSession, path: str, table: GoldTable) -> DataFrame:
     return read_dated(spark, path, table.schema)
 
 
+def read_gold_day(spark: SparkSession, path: str, day, table: GoldTable) -> DataFrame:
+    return read_date(spark, path, table.schema, day)
+
+
 def write_gold_day(gold: DataFrame, path: str, day: str | dt.date, table: GoldTable) -> None:
     write_gold(gold.where(F.col("flight_date") == F.lit(parse_day(day))), path, table)
 

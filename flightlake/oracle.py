@@ -277,7 +277,7 @@ SELECT CAST(day AS DATE) AS day, n + 1 AS window_number,
        day + n * INTERVAL 2 HOUR AS window_start,
        day + (n + 1) * INTERVAL 2 HOUR AS window_end
 FROM (SELECT DISTINCT CAST(CAST(departure_time AS DATE) AS TIMESTAMP) AS day
-      FROM valid WHERE departure_time IS NOT NULL),
+      FROM silver WHERE departure_time IS NOT NULL),
      generate_series(0, 11) AS series(n)
 """
 
@@ -302,7 +302,7 @@ _BASE = {
     "country_gold": ["country_merged", "country_unique"],
     "route_gold": ["enriched"],
     "moves": ["enriched"],
-    "departure_plan": ["valid"],
+    "departure_plan": ["silver"],
 }
 
 _LABEL = (
@@ -386,7 +386,7 @@ FINAL: dict[str, tuple[list[str], str]] = {
         f"""SELECT day, CAST(window_number AS INTEGER) AS window_number, window_start,
                    window_end, {_LABEL} AS bronze_file, count(departure_time) AS row_count
             FROM departure_plan
-            LEFT JOIN valid ON time_bucket(INTERVAL 2 HOUR, departure_time, TIMESTAMP '2000-01-01')
+            LEFT JOIN silver ON time_bucket(INTERVAL 2 HOUR, departure_time, TIMESTAMP '2000-01-01')
                                = window_start
             GROUP BY ALL""",
     ),

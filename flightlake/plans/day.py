@@ -108,7 +108,11 @@ def run_day(
 def load_warehouse(spark: SparkSession, lake: Lake, day: str | dt.date | None = None) -> None:
     """Upsert gold into the target tables, one table after the other; the whole history, or
     one date of it."""
+    prepare(spark)
     for table in GOLD_TABLES:
-        gold = history.read_gold(prepare(spark), lake.gold(table), table)
-        batch = gold if day is None else traffic.filter_date(gold, day)
+        path = lake.gold(table)
+        if day is None:
+            batch = history.read_gold(spark, path, table)
+        else:
+            batch = history.read_gold_day(spark, path, day, table)
         history.upsert_gold(spark, batch, lake.warehouse(table), table)

@@ -30,11 +30,21 @@ def write_day(df: DataFrame, path: str, day: str | dt.date) -> None:
     _write(df.withColumn(INGEST_DATE, F.lit(parse_day(day))), path, INGEST_DATE)
 
 
+def _read_partition(spark, path: str, schema: T.StructType, column: str, day) -> DataFrame:
+    """One date of a table. Only its own folder is listed, however many dates the table has;
+    a missing table or date is an error."""
+    fields = [f for f in schema if f.name != column] + [T.StructField(column, T.DateType())]
+    return (
+        spark.read.schema(T.StructType(fields))
+        .option("basePath", path)
+        .parquet(f"{path}/{column}={parse_day(day).isoformat()}")
+        .select(*schema.names)
+    )
+
+
 def read_day(spark: SparkSession, path: str, schema: T.StructType, day: str | dt.date) -> DataFrame:
-    """One ingestion date of a flight-level table; a missing table is an error."""
-    full = T.StructType(schema.fields + [T.StructField(INGEST_DATE, T.DateType())])
-    table = spark.read.schema(full).parquet(path)
-    return table.where(F.col(INGEST_DATE) == F.lit(parse_day(day))).drop(INGEST_DATE)
+    """One ingestion date of a flight-level table."""
+    return _read_partition(spark, path, schema, INGEST_DATE, day)
 
 
 def write_dated(df: DataFrame, path: str, order: Sequence[Column]) -> None:
@@ -50,3 +60,8 @@ def write_dated(df: DataFrame, path: str, order: Sequence[Column]) -> None:
 
 def read_dated(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def read_date(spark: SparkSession, path: str, schema: T.StructType, day: str | dt.date) -> DataFrame:
+    """One flight date of a gold table."""
+    return _read_partition(spark, path, schema, "flight_date", day)

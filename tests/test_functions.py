@@ -82,7 +82,8 @@ def test_no_nan_and_no_infinity(spark):
     assert apply(spark, values, numeric.to_double) == [None] * 7 + [7.0]
     doubles = [float("nan"), 1.0, None, float("inf")]
     assert apply(spark, doubles, numeric.nan_to_null, "double") == [None, 1.0, None, float("inf")]
-    assert apply(spark, doubles, numeric.finite, "double") == [None, 1.0, None, None]
+    doubles = [-float("inf"), 1.0, None, float("inf")]
+    assert apply(spark, doubles, numeric.infinity_to_null, "double") == [None, 1.0, None, None]
 
 
 def test_non_negative(spark):

@@ -73,7 +73,7 @@ def test_single_dates_read_single_partitions(spark, folder, lake):
     tables.write_day(lake.enriched, f"{folder}/enriched", "1995-07-12")
     day = tables.read_day(spark, f"{folder}/enriched", ENRICHED_SCHEMA, "1995-07-12")
     text = plan(traffic.airport_traffic(traffic.filter_date(day, "1995-07-12")))
-    assert "PartitionFilters: [isnotnull(ingest_date" in text
+    assert "ingest_date=1995-07-12]" in text
     assert "EqualTo(flight_date,1995-07-12)" in text
     read = text[text.index("ReadSchema") :]
     assert "departure_airport_name" not in read and "callsign" not in read

@@ -16,6 +16,30 @@ WHITESPACE = (
 
 ROUTE_SEPARATOR = " -> "
 
+# Texts that data-frame CSV readers commonly take for missing. Not applied
+# unless asked for, because NA is also the country code of Namibia.
+MISSING_TOKENS = [
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+]
+
 
 def strip(c: Column) -> Column:
     """Strip Unicode whitespace. `trim` with a character list looks at the edges only,

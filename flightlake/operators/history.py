@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from flightlake.operators.traffic import enforce_schema
 from flightlake.schemas import GoldTable
 from flightlake.session import parse_day
-from flightlake.sources.tables import read_date, read_dated, write_dated
+from flightlake.sources.tables import exists, read_date, read_dated, write_dated
 
 
 def ranking_order(table: GoldTable) -> list[Column]:
@@ -62,11 +62,6 @@ def write_gold_day(gold: DataFrame, path: str, day: str | dt.date, table: GoldTa
     write_gold(gold.where(F.col("flight_date") == F.lit(parse_day(day))), path, table)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
 def upsert_gold(spark: SparkSession, batch: DataFrame, path: str, table: GoldTable) -> None:
     """Upsert a batch into the stored table, rewriting only the dates the batch touches.
 
@@ -76,7 +71,7 @@ def upsert_gold(spark: SparkSession, batch: DataFrame, path: str, table: GoldTab
     """
     batch = enforce_schema(batch, table.schema)
     require_unique(batch, table.key)
-    if not table_exists(spark, path):
+    if not exists(spark, path):
         return write_gold(batch, path, table)
     span = batch.agg(F.min("flight_date").alias("first"), F.max("flight_date").alias("last"))
     span = span.first()

@@ -8,12 +8,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flightlake.functions import times
 from flightlake.operators import enrich, history, silver, traffic
+from flightlake.plans import windows
 from flightlake.schemas import (
     AIRPORT_TRAFFIC,
     COUNTRY_TRAFFIC,
     ENRICHED_SCHEMA,
     GOLD_TABLES,
+    PAYLOAD_SCHEMA,
     ROUTE_TRAFFIC,
     SILVER_SCHEMA,
 )
@@ -55,6 +58,27 @@ def land_payload(
     return payload.write_bronze(payload.project_payload(raw), lake.bronze, start, end)
 
 
+def land_day(spark: SparkSession, lake: Lake, payload_dir: str, day: str | dt.date) -> DataFrame:
+    """Backfill a day's bronze from payload files named like the batches, with .json for .csv.
+    A window without a file had no flights and gets an empty batch. Returns rows per window."""
+    for start, end in windows.day_windows(day):
+        label = times.window_label_of(start, end)
+        path = f"{payload_dir.rstrip('/')}/{label.removesuffix('.csv')}.json"
+        if tables.exists(spark, path):
+            land_payload(spark, lake, path, start, end)
+        else:
+            nothing = spark.createDataFrame([], PAYLOAD_SCHEMA)
+            payload.write_bronze(payload.project_payload(nothing), lake.bronze, start, end)
+    return landed_windows(spark, lake, day)
+
+
+def landed_windows(spark: SparkSession, lake: Lake, day: str | dt.date) -> DataFrame:
+    """The day's planned windows with the rows that arrived in each, zero included."""
+    planned = spark.createDataFrame([(parse_day(day),)], "day date")
+    counts = bronze.batch_counts(bronze.read_bronze(spark, lake.bronze, day))
+    return windows.plan_coverage(windows.backfill_plan(planned, "day"), counts)
+
+
 def silver_day(
     spark: SparkSession, lake: Lake, day: str | dt.date, na_tokens: Iterable[str] = ()
 ) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.functions import times
+from flightlake.session import parse_day
 
 
 def last_hour(df: DataFrame, now: str) -> DataFrame:
@@ -68,3 +69,12 @@ def hourly_window(now: dt.datetime) -> tuple[dt.datetime, dt.datetime]:
     """The last completed hour for a job argument, timezone-aware input expected."""
     end = now.astimezone(dt.timezone.utc).replace(minute=0, second=0, microsecond=0)
     return end - dt.timedelta(hours=1), end
+
+
+def day_windows(
+    day: str | dt.date, hours: int = times.WINDOW_HOURS
+) -> list[tuple[dt.datetime, dt.datetime]]:
+    """The windows of `backfill_plan` for one day, for a job that lands them one by one."""
+    midnight = dt.datetime.combine(parse_day(day), dt.time())
+    cuts = [midnight + dt.timedelta(hours=h) for h in range(0, 24, hours)]
+    return list(zip(cuts, cuts[1:] + [midnight + dt.timedelta(days=1)]))

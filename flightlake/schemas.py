@@ -22,6 +22,9 @@ PAYLOAD_TO_BRONZE = {
 
 BRONZE_COLUMNS = list(PAYLOAD_TO_BRONZE.values())
 
+# Header line, and quotes inside quoted text doubled.
+CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
+
 CODE_COLUMNS = ["icao24", "callsign", "departure_airport", "arrival_airport"]
 EPOCH_COLUMNS = ["first_seen", "last_seen"]
 DISTANCE_COLUMNS = [c for c in BRONZE_COLUMNS if c.endswith("_distance")]

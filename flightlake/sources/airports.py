@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.functions import text
-from flightlake.schemas import AIRPORT_COLUMNS
+from flightlake.schemas import AIRPORT_COLUMNS, CSV_FORMAT
 from flightlake.sources.bronze import ROW_ORDER, normalize_headers
 
 
@@ -18,7 +18,8 @@ def read_airports(spark: SparkSession, path: str, na_tokens: Iterable[str] = ())
     A missing column is an error. Namibia's code `NA` stays a value unless `na_tokens`
     names it.
     """
-    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    # The reference is one small file; names may hold quotes, commas and line breaks.
+    raw = spark.read.options(**CSV_FORMAT).options(enforceSchema=False, multiLine=True).csv(path)
     order = F.struct(
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.functions import text
-from flightlake.schemas import BRONZE_COLUMNS
+from flightlake.schemas import BRONZE_COLUMNS, CSV_FORMAT
 from flightlake.session import parse_day
 
 LINEAGE = "bronze_file"
@@ -45,7 +45,7 @@ def read_bronze(
     follows the lines; a retried task yields the same ids again.
     """
     raw = (
-        spark.read.option("header", True)
+        spark.read.options(**CSV_FORMAT)
         .option("enforceSchema", False)
         .csv(batch_glob(bronze_dir, day))
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.functions import times
-from flightlake.schemas import PAYLOAD_SCHEMA, PAYLOAD_TO_BRONZE
+from flightlake.schemas import CSV_FORMAT, PAYLOAD_SCHEMA, PAYLOAD_TO_BRONZE
 
 
 def read_payload(spark: SparkSession, path: str | Iterable[str]) -> DataFrame:
@@ -32,7 +32,13 @@ def project_payload(payload: DataFrame) -> DataFrame:
 
 def write_bronze(bronze: DataFrame, bronze_dir: str, start: dt.datetime, end: dt.datetime) -> str:
     """Write one window's batch as CSV with a header, replacing an earlier run's. A window
-    without flights leaves a batch that holds the header only."""
+    without flights leaves a batch that holds the header only. Padding is kept: bronze is
+    what the source sent."""
     path = f"{bronze_dir.rstrip('/')}/{times.window_label_of(start, end)}"
-    bronze.write.mode("overwrite").option("header", True).csv(path)
+    (
+        bronze.write.mode("overwrite")
+        .options(**CSV_FORMAT)
+        .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .csv(path)
+    )
     return path

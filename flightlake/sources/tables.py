@@ -14,6 +14,12 @@ from flightlake.session import parse_day
 INGEST_DATE = "ingest_date"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever storage the path names."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def _write(df: DataFrame, path: str, partition_column: str) -> None:
     # Only the partitions present in `df` are replaced, and only after all tasks have
     # succeeded, so a lost executor costs a retry and never half a table.

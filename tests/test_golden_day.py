@@ -1,4 +1,3 @@
-import datetime as dt
 import json
 import os
 
@@ -166,35 +165,61 @@ def test_na_tokens_drop_namibia(spark, lake):
     assert set(golden.rows(gold["route_traffic"])) == golden.ROUTE_TRAFFIC
 
 
+def test_all_missing_tokens(spark, lake):
+    from flightlake.functions import text
+
+    scan = bronze.read_bronze(spark, lake.bronze, golden.DAY, text.MISSING_TOKENS)
+    assert scan.where("icao24 = '' or callsign = ''").isEmpty() and scan.count() == 12
+
+
 def test_payload_to_bronze_to_gold(spark, folder):
     """The same flights landed from JSON payloads instead of ready CSV files."""
-    lake = daily.Lake(folder, golden.write_lake(folder, flights=[]))
+    reference = golden.write_lake(f"{folder}/unused", flights=[])
+    lake = daily.Lake(f"{folder}/lake", reference)
     names = ["icao24", "firstSeen", "estDepartureAirport", "lastSeen", "estArrivalAirport", "callsign"]
     os.makedirs(f"{folder}/payload")
-    start = dt.datetime(2026, 9, 27)
-    for position, batch in enumerate((golden.F0, golden.F1, golden.F2)):
+    for batch in (golden.F0, golden.F1, golden.F2):
         flights = [dict(zip(names, f[1:])) for f in golden.FLIGHTS if f[0] == batch]
-        path = f"{folder}/payload/{position}.json"
-        with open(path, "w") as out:
+        with open(f"{folder}/payload/{batch.replace('.csv', '.json')}", "w") as out:
             json.dump(flights, out)
-        begin = start + dt.timedelta(hours=2 * position)
-        landed = f"{folder}/landed"
-        written = daily.land_payload(
-            spark,
-            daily.Lake(landed, lake.airports_csv),
-            path,
-            begin,
-            begin + dt.timedelta(hours=2),
-        )
-        assert written == f"{landed}/bronze/{batch}"
-    lake = daily.Lake(f"{folder}/landed", lake.airports_csv)
+    landed = daily.land_day(spark, lake, f"{folder}/payload", golden.DAY)
+    arrived = {r["bronze_file"]: r["row_count"] for r in landed.collect()}
+    assert len(arrived) == 12 and sum(arrived.values()) == 12
+    assert arrived[golden.F0] == arrived[golden.F1] == 6 and arrived[golden.F2] == 0
     scan = bronze.read_bronze(spark, lake.bronze, golden.DAY)
-    assert dict(golden.rows(bronze.batch_counts(scan))) == {golden.F0: 6, golden.F1: 6}
+    raw = scan.where("callsign = 'ai101 '").select("icao24", "first_seen", "arrival_airport")
+    assert golden.rows(raw) == [(" 4ca1fa ", str(golden.T0 + 3600), "VABB ")]
     gold = daily.run_day(spark, lake, golden.DAY)
     for name, expected in EXPECTED.items():
         assert set(golden.rows(gold[name])) == expected
 
 
+def test_last_window_of_a_day_is_labelled_with_its_start_date():
+    from flightlake.functions import times
+    from flightlake.plans import windows
+
+    cuts = windows.day_windows(golden.DAY)
+    assert len(cuts) == 12
+    assert times.window_label_of(*cuts[-1]) == "flights_2026-09-27_22-00_to_00-00.csv"
+
+
+def test_payload_without_a_field(spark):
+    from flightlake.sources import payload
+
+    partial = spark.createDataFrame([("a", 5)], "icao24 string, firstSeen long")
+    row = payload.project_payload(partial).first()
+    assert list(row.asDict()) == BRONZE_COLUMNS
+    assert row["first_seen"] == "5" and row["callsign"] is None
+
+
+def test_airport_names_with_quotes_commas_and_line_breaks(spark, folder):
+    name = 'Robert "Bob" Field,\nNorth'
+    header = ["ident", "name", "iso_country", "icao_code", "iata_code"]
+    golden.write_csv(f"{folder}/r/a.csv", header, [["K1", name, "US", "KBOB", ""], ["K2", "x", "US", "kbob", ""]])
+    lookup = enrich.build_lookup(airports.read_airports(spark, f"{folder}/r/a.csv"))
+    assert golden.rows(lookup) == [("KBOB", None, name, "US")]
+
+
 def test_warehouse_load(spark, lake):
     daily.run_day(spark, lake, golden.DAY)
     daily.load_warehouse(spark, lake)

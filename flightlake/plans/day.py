@@ -6,7 +6,8 @@ import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flightlake.functions import times
 from flightlake.operators import enrich, history, silver, traffic
@@ -129,6 +130,35 @@ def run_day(
     return {t.name: history.read_gold(spark, lake.gold(t), t) for t in GOLD_TABLES}
 
 
+def day_report(spark: SparkSession, lake: Lake, day: str | dt.date) -> DataFrame:
+    """One row of counts about a finished run. Taken from the stored tables, where retries
+    leave no trace, rather than from counters updated while tasks run."""
+    batches = bronze.read_bronze(prepare(spark), lake.bronze, day)
+    enriched = tables.read_day(spark, lake.enriched, ENRICHED_SCHEMA, day)
+
+    def rows(table: DataFrame) -> Column:
+        return table.agg(F.count("*")).scalar()
+
+    counts = enriched.agg(
+        F.count("*").alias("silver_rows"),
+        F.count("departure_airport").alias("rows_with_departure"),
+        F.count("arrival_airport").alias("rows_with_arrival"),
+        F.count("route").alias("rows_with_route"),
+        F.count("departure_airport_name").alias("departures_matched"),
+        F.count("arrival_airport_name").alias("arrivals_matched"),
+        F.count_if(F.col("flight_date") == F.lit(parse_day(day))).alias("rows_on_date"),
+    )
+    return counts.select(
+        rows(batches).alias("bronze_rows"),
+        (F.col("bronze_rows") - F.col("silver_rows")).alias("duplicates_removed"),
+        "*",
+        *[
+            rows(history.read_gold_day(spark, lake.gold(t), day, t)).alias(f"{t.name}_rows")
+            for t in GOLD_TABLES
+        ],
+    )
+
+
 def load_warehouse(spark: SparkSession, lake: Lake, day: str | dt.date | None = None) -> None:
     """Upsert gold into the target tables, one table after the other; the whole history, or
     one date of it."""

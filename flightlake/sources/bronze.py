@@ -41,19 +41,22 @@ def read_bronze(
     the day is an error (PATH_NOT_FOUND), and so is a file whose header differs from the
     others', because columns are never matched by position.
 
-    `row_order` is (file, block, id). The id grows along a scan task, so within a block it
-    follows the lines; a retried task yields the same ids again.
+    `row_order` is (part, block, id). The part names the file inside a batch that is a folder
+    and is null for a batch that is a file, which spares the shuffle a second long name. The
+    id grows along a scan task, so within a block it follows the lines; a retried task yields
+    the same ids again.
     """
     raw = (
         spark.read.options(**CSV_FORMAT)
         .option("enforceSchema", False)
         .csv(batch_glob(bronze_dir, day))
     )
+    batch = batch_name(F.col("_metadata.file_path"))
     raw = raw.select(
         "*",
-        batch_name(F.col("_metadata.file_path")).alias(LINEAGE),
+        batch.alias(LINEAGE),
         F.struct(
-            F.col("_metadata.file_name").alias("file"),
+            F.when(F.col("_metadata.file_name") != batch, F.col("_metadata.file_name")).alias("part"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("id"),
         ).alias(ROW_ORDER),

@@ -124,6 +124,31 @@ def test_run_day(spark, lake):
     assert golden.rows(stats) == [(11, 8, 4, 3, 6)]
 
 
+def test_day_report(spark, lake):
+    daily.run_day(spark, lake, golden.DAY)
+    assert daily.day_report(spark, lake, golden.DAY).first().asDict() == {
+        "bronze_rows": 12,
+        "duplicates_removed": 1,
+        "silver_rows": 11,
+        "rows_with_departure": 10,
+        "rows_with_arrival": 11,
+        "rows_with_route": 10,
+        "departures_matched": 9,
+        "arrivals_matched": 11,
+        "rows_on_date": 8,
+        "airport_traffic_rows": 4,
+        "country_traffic_rows": 3,
+        "route_traffic_rows": 6,
+    }
+
+
+def test_dates_are_utc_whatever_the_session_says(spark, lake):
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+    gold = daily.run_day(spark, lake, golden.DAY)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert set(golden.rows(gold["route_traffic"])) == golden.ROUTE_TRAFFIC
+
+
 def test_run_day_twice_changes_nothing(spark, lake):
     daily.run_day(spark, lake, golden.DAY)
     gold = daily.run_day(spark, lake, golden.DAY)

@@ -20,9 +20,12 @@ def normalize_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[text.normalize_header(c) for c in df.columns])
 
 
-def batch_name(path: Column) -> Column:
-    """The batch a file belongs to: the file itself, or the folder Spark wrote it in."""
-    return F.regexp_extract(path, r"(flights_[^/]+\.csv)", 1)
+def batch_and_part(name: Column, path: Column) -> tuple[Column, Column]:
+    """The batch a file belongs to, which is the file itself or the folder Spark wrote it in,
+    and the file's name inside such a folder. Computed per row, hence without patterns."""
+    is_batch = name.startswith("flights_")
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(is_batch, name).otherwise(folder), F.when(~is_batch, name)
 
 
 def batch_glob(bronze_dir: str, day: str | dt.date) -> str:
@@ -51,12 +54,12 @@ def read_bronze(
         .option("enforceSchema", False)
         .csv(batch_glob(bronze_dir, day))
     )
-    batch = batch_name(F.col("_metadata.file_path"))
+    batch, part = batch_and_part(F.col("_metadata.file_name"), F.col("_metadata.file_path"))
     raw = raw.select(
         "*",
         batch.alias(LINEAGE),
         F.struct(
-            F.when(F.col("_metadata.file_name") != batch, F.col("_metadata.file_name")).alias("part"),
+            part.alias("part"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("id"),
         ).alias(ROW_ORDER),

@@ -75,27 +75,22 @@ def add_features(df: DataFrame) -> DataFrame:
     )
 
 
-def parse_flights(bronze: DataFrame) -> DataFrame:
-    """Codes and numbers; all that deduplication looks at."""
-    return convert_numbers(clean_strings(bronze))
-
-
-def validate_flights(parsed: DataFrame) -> DataFrame:
-    return validate_distances(validate_time_order(convert_timestamps(parsed)))
-
-
 def clean_flights(bronze: DataFrame) -> DataFrame:
-    return validate_flights(parse_flights(bronze))
+    """Everything that looks at one row only and comes before deduplication."""
+    return validate_distances(
+        validate_time_order(convert_timestamps(convert_numbers(clean_strings(bronze))))
+    )
 
 
 def build_silver(bronze: DataFrame) -> DataFrame:
-    """Bronze batches to the silver table.
+    """Bronze batches to the silver table. One shuffle, for the deduplication; cleaned
+    columns that silver does not keep are pruned before they are computed.
 
-    One shuffle, for the deduplication. Validation never changes a key, so it comes after:
-    the shuffle carries the two epochs only, and timestamps are made for the rows kept.
-    Cleaned columns that silver does not keep are pruned before they are computed.
+    Timestamps are made before the shuffle, although their epochs would do to carry them:
+    a filter on them then stays above the window instead of being pushed below it as a copy
+    of all the parsing.
     """
-    flights = add_features(validate_flights(remove_duplicates(parse_flights(bronze))))
+    flights = add_features(remove_duplicates(clean_flights(bronze)))
     flights = flights.withColumn("processed_at", F.current_timestamp())
     return flights.select(*[F.col(f.name).cast(f.dataType) for f in SILVER_SCHEMA])
 

@@ -26,6 +26,11 @@ def test_no_python_and_no_cartesian_product(spark, name):
         assert operator not in text
 
 
+def test_parsing_is_not_copied_by_pushed_filters(lake):
+    for df in (lake.silver, lake.airports, lake.countries, lake.routes):
+        assert 2 <= plan(df).count("regexp_extract") <= 4
+
+
 def test_distinct_counts_do_not_copy_rows(lake):
     for df in (lake.airports, lake.countries, lake.routes):
         assert "Expand" not in plan(df)

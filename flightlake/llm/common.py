@@ -82,13 +82,15 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def pieces(batch: pa.RecordBatch, text: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """The batch cut between rows so that a piece holds about `limit` bytes of text at most."""
+def pieces(
+    batch: pa.RecordBatch, text: str, limit: int = 2 << 20, rows: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The batch cut between rows, so that a piece holds about `limit` bytes of text at most."""
     _, bounds = text_bytes(batch.column(text))
     row = 0
     while row < batch.num_rows:
         end = int(np.searchsorted(bounds, bounds[row] + limit, "right")) - 1
-        end = min(max(end, row + 1), batch.num_rows)
+        end = min(max(end, row + 1), batch.num_rows, row + (rows or batch.num_rows))
         yield batch.slice(row, end - row)
         row = end
 
@@ -124,6 +126,21 @@ class Words:
         return mixed(np.add.reduceat(values, firsts) + lengths.astype(np.uint64))
 
 
+    def prefixes(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Fingerprints of the words' first bytes, and which words are longer than that.
+
+        A fingerprint differs from that of the same bytes as a whole word.
+        """
+        lengths = self.ends - self.starts
+        longer = lengths > length
+        starts = self.starts[longer]
+        values = np.full(len(starts), -length, np.int64).view(np.uint64)
+        power = _powers(length)
+        for j in range(length):
+            values += _BYTE[self.data[starts + j]] * power[j]
+        return mixed(values), longer
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit (the splitmix finaliser)."""
     x = x.astype(np.uint64, copy=True)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import chat, mixing, topk
-from flightlake.llm.common import table
+from flightlake.llm import chat, langid, mixing, simhash, topk, toxicity
+from flightlake.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,25 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.grade(docs, model, keep_text=False)
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder("doc_id", 5) == 0
+    model = langid.fit(docs, ~held_out)
+    asked = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return langid.identify(asked, model, keep_text=False)
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     quality = mixing.quality_weights(table(spark, sf_dir, "labels"))
@@ -40,6 +59,9 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
+    "op3_toxicity": op3_toxicity,
+    "op4_language": op4_language,
+    "op5_simhash": op5_simhash,
     "op6_mixing": op6_mixing,
     "op7_chat_format": op7_chat_format,
 }

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -163,3 +164,45 @@ def _powers(n: int) -> np.ndarray:
 
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
 _POWER = np.ones(1, np.uint64)
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Ascending 64-bit values, as compressed differences."""
+    steps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
+    return _pack(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T))
+
+
+def unpack_sorted(packed: bytes) -> np.ndarray:
+    steps = np.frombuffer(_unpack(packed), np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view("<u8").ravel(), dtype=np.uint64)
+
+
+def pack_small(values: np.ndarray) -> bytes:
+    """Whole numbers that are mostly small, byte plane by byte plane and compressed."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return _pack(np.ascontiguousarray(planes))
+
+
+def unpack_small(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(_unpack(packed), np.uint8).reshape(8, -1).T
+    return np.ascontiguousarray(planes).view("<u8").ravel().astype(np.int64)
+
+
+def _pack(planes: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpack(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
+def power_of_two(n: float) -> int:
+    return 1 << max(0, int(np.ceil(np.log2(max(1.0, n)))))
+
+
+def by_range(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """Where each of `shards` (a power of two) equal ranges of hashes starts and ends."""
+    if shards == 1:
+        return np.array([0, len(hashes)])
+    firsts = np.arange(1, shards, dtype=np.uint64) << np.uint64(65 - shards.bit_length())
+    return np.concatenate([[0], np.searchsorted(hashes, firsts), [len(hashes)]])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import chat, langid, mixing, simhash, topk, toxicity
+from flightlake.llm import chat, langid, lm, mixing, simhash, topk, toxicity
 from flightlake.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,13 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 10) == 0
+    asked = docs.withColumn("held_out", held_out)
+    return lm.score(asked, ~F.col("held_out"), keep=["doc_id", "held_out"])
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -59,6 +66,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
+    "op2_lm_score": op2_lm_score,
     "op3_toxicity": op3_toxicity,
     "op4_language": op4_language,
     "op5_simhash": op5_simhash,

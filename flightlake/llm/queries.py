@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import chat, langid, lm, mixing, simhash, substring, topk, toxicity
+from flightlake.llm import chat, decontam, langid, lm, mixing, simhash, substring, topk, toxicity
 from flightlake.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,11 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(rows.unionByName(planted)))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.find(docs, decontam.fit(table(spark, sf_dir, "benchmark")))
+
+
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.dedup(docs, keep=["doc_id"], digest=True)
@@ -77,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op5_simhash": op5_simhash,
     "op6_mixing": op6_mixing,
     "op7_chat_format": op7_chat_format,
+    "op9_decontaminate": op9_decontaminate,
     "op10_substring": op10_substring,
 }
 

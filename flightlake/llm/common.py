@@ -41,12 +41,17 @@ def stored(df: DataFrame) -> DataFrame:
     The folder is the session's `spark.checkpoint.dir`; only where none is named, as in tests,
     a temporary one is taken.
     """
-    spark = df.sparkSession
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for stored steps, which the driver and all executors share."""
     context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
+    if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+    return context.getCheckpointDir()
 
 
 def text_or_empty(name: str) -> Column:

@@ -81,86 +81,112 @@ def mix(
     hash of the id and divided by the quality weight, until the running sum of sizes passes what
     is left; the document in which it ends is taken if its middle lies before the end.
 
-    The running sum is two-level: sums of whole key ranges (`buckets` a source) and sums inside a
-    range, so that a source of any size spreads over all tasks.
+    The running sum is two-level: sums of whole key ranges (`buckets` a source), and inside the
+    one range in which a source's sum ends a window over its documents. So a source of any size
+    is added up by all tasks. What comes back to the documents is a row per source with the last
+    key taken.
 
     Null text has size 0 and is taken 0 times its words; a null id draws as empty text; rows
     without source form one source, the last. Rows that repeat an id are documents of their own
-    with equal keys, ordered by size. An empty table gives no rows. Input columns named like an
-    output column are replaced.
+    with equal keys, ordered by size; those alike in both are taken or left together. An empty
+    table gives no rows. Input columns named like an output column are replaced.
     """
-    extra = [c for c in docs.columns if c.lower() in _OUT]
-    own = docs.drop(*extra)
-    name = {k: free_name(own, f"mix_{k}") for k in ("key", "bucket", "nosrc", "src", "run", "base")}
-    name["q"] = free_name(own, "mix_q")
-    sized = own.withColumn("size", F.regexp_count(text_or_empty("text"), F.lit(WORD)).cast("long"))
-    if quality is None:
-        sized = sized.withColumn(name["q"], F.lit(1.0))
-    else:
-        known = quality.select(
-            F.col("doc_id").alias("mix_doc"), F.col("quality_weight").alias(name["q"])
-        )
-        match = sized["doc_id"] == known["mix_doc"]
-        sized = sized.join(known, match, "left").drop(known["mix_doc"])
-        sized = sized.withColumn(name["q"], F.coalesce(name["q"], F.lit(1.0)))
-    digits = F.substring(F.md5(text_or_empty("doc_id").cast("binary")), 1, 13)
-    uniform = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
-    sized = (
-        sized.withColumn(name["key"], -F.log(uniform) / F.col(name["q"]))
-        .withColumn(
-            name["bucket"],
-            F.least(
-                F.floor((1 - F.exp(-F.col(name["key"]))) * buckets).cast("int"),
-                F.lit(buckets - 1),
-            ),
-        )
-        .withColumn(name["nosrc"], F.col("source").isNull())
-        .withColumn(name["src"], text_or_empty("source"))
-    )
-    ranges = sized.groupBy(
+    own = docs.drop(*[c for c in docs.columns if c.lower() in OUT])
+    sized, name = _keyed(own, quality, buckets)
+    slim = sized.select(
         F.col(name["nosrc"]).alias("no_source"),
         F.col(name["src"]).alias("source"),
         F.col(name["bucket"]).alias("bucket"),
-    ).agg(F.sum("size").alias("range_size"))
+        F.struct(F.col(name["key"]).alias("key"), F.col("doc_id").alias("id"), "size").alias("at"),
+        "size",
+    )
+    ranges = slim.groupBy("no_source", "source", "bucket").agg(F.sum("size").alias("range_size"))
     sizes = ranges.groupBy("no_source", "source").agg(F.sum("range_size").alias("source_size"))
-    targets = source_targets(sizes, weights, share, most)
+    epochs = F.when(
+        F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
+    ).otherwise(0)
+    targets = (
+        source_targets(sizes, weights, share, most)
+        .withColumn("epochs", epochs.cast("long"))
+        .withColumn("left", F.col("target") - F.col("epochs") * F.col("source_size"))
+    )
     before = (
         Window.partitionBy("no_source", "source")
         .orderBy("bucket")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     based = ranges.withColumn("base", F.coalesce(F.sum("range_size").over(before), F.lit(0)))
-    plan = based.join(targets, ["no_source", "source"]).select(
-        F.col("no_source").alias("plan_no_source"),
-        F.col("source").alias("plan_source"),
-        F.col("bucket").alias("plan_bucket"),
-        F.col("base").alias(name["base"]),
-        "source_size",
-        "target",
+    # The range in which the sum ends: the last one that begins before the end.
+    reached = (
+        based.join(targets, ["no_source", "source"])
+        .filter(F.col("base") < F.col("left"))
+        .groupBy("no_source", "source")
+        .agg(F.max(F.struct("bucket", "base", "left")).alias("end"))
     )
-    inside = (
-        Window.partitionBy(name["nosrc"], name["src"], name["bucket"])
-        .orderBy(name["key"], "doc_id", "size")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("no_source", "source").orderBy("at")
+    last = (
+        slim.join(reached, ["no_source", "source"])
+        .filter(F.col("bucket") == F.col("end.bucket"))
+        .withColumn("run", F.sum("size").over(inside))
+        .filter(F.col("end.base") + F.col("run") - F.col("size") / 2 < F.col("end.left"))
+        .groupBy("no_source", "source")
+        .agg(F.max("at").alias("last"))
     )
-    summed = sized.withColumn(name["run"], F.sum("size").over(inside))
-    joined = summed.join(
-        plan,
-        (summed[name["nosrc"]] == plan["plan_no_source"])
-        & (summed[name["src"]] == plan["plan_source"])
-        & (summed[name["bucket"]] == plan["plan_bucket"]),
+    sources = (
+        targets.join(reached, ["no_source", "source"], "left")
+        .join(last, ["no_source", "source"], "left")
+        .select(
+            F.col("no_source").alias("plan_no_source"),
+            F.col("source").alias("plan_source"),
+            F.col("end.bucket").alias("plan_bucket"),
+            F.col("last").alias("plan_last"),
+            F.col("epochs").alias("plan_epochs"),
+            "source_size",
+            "target",
+        )
+    )
+    joined = sized.join(
+        sources,
+        (sized[name["nosrc"]] == sources["plan_no_source"])
+        & (sized[name["src"]] == sources["plan_source"]),
+    )
+    at = F.struct(F.col(name["key"]).alias("key"), F.col("doc_id").alias("id"), "size")
+    drawn = F.coalesce(
+        (F.col(name["bucket"]) < F.col("plan_bucket"))
+        | (F.col(name["bucket"]) == F.col("plan_bucket")) & (at <= F.col("plan_last")),
+        F.lit(False),
     )
-    epochs = F.when(
-        F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
-    ).otherwise(0)
-    left = F.col("target") - epochs * F.col("source_size")
-    middle = F.col(name["base"]) + F.col(name["run"]) - F.col("size") / 2
-    copies = (epochs + F.when(middle < left, 1).otherwise(0)).cast("long")
     return (
-        joined.withColumn("copies", copies)
+        joined.withColumn("copies", F.col("plan_epochs") + drawn.cast("long"))
         .withColumn("taken", F.col("copies") * F.col("size"))
-        .select(*[f"`{c}`" for c in own.columns], *_OUT)
+        .select(*[f"`{c}`" for c in own.columns], *OUT)
+    )
+
+
+def _keyed(
+    own: DataFrame, quality: DataFrame | None, buckets: int
+) -> tuple[DataFrame, dict[str, str]]:
+    """The documents with size, key, key range and source, and the names of these columns."""
+    name = {k: free_name(own, f"mix_{k}") for k in ("key", "bucket", "nosrc", "src", "weight")}
+    sized = own.withColumn("size", F.regexp_count(text_or_empty("text"), F.lit(WORD)).cast("long"))
+    if quality is None:
+        sized = sized.withColumn(name["weight"], F.lit(1.0))
+    else:
+        known = quality.select(
+            F.col("doc_id").alias("mix_doc"), F.col("quality_weight").alias("mix_weight")
+        )
+        sized = sized.join(known, sized["doc_id"] == known["mix_doc"], "left")
+        sized = sized.withColumn(name["weight"], F.coalesce(known["mix_weight"], F.lit(1.0)))
+    digits = F.substring(F.md5(text_or_empty("doc_id").cast("binary")), 1, 13)
+    uniform = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
+    ranged = F.floor((1 - F.exp(-F.col(name["key"]))) * buckets).cast("int")
+    return (
+        sized.withColumn(name["key"], -F.log(uniform) / F.col(name["weight"]))
+        .withColumn(name["bucket"], F.least(ranged, F.lit(buckets - 1)))
+        .withColumn(name["nosrc"], F.col("source").isNull())
+        .withColumn(name["src"], text_or_empty("source")),
+        name,
     )
 
 
-_OUT = ("size", "source_size", "target", "copies", "taken")
+OUT = ("size", "source_size", "target", "copies", "taken")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import chat, decontam, langid, lm, mixing, simhash, substring, topk, toxicity
+from flightlake.llm import chat, decontam, langid, lm, mixing, pages, simhash, substring, topk, toxicity
 from flightlake.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,11 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(rows.unionByName(planted)))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return pages.extract(rows)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.find(docs, decontam.fit(table(spark, sf_dir, "benchmark")))
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op5_simhash": op5_simhash,
     "op6_mixing": op6_mixing,
     "op7_chat_format": op7_chat_format,
+    "op8_html_text": op8_html_text,
     "op9_decontaminate": op9_decontaminate,
     "op10_substring": op10_substring,
 }
@@ -141,7 +147,7 @@ ORACLES: dict[str, str] = {
             FROM l
         ),
         run AS (
-            SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM keyed
+            SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS FIRST, size) AS upto FROM keyed
         ),
         c AS (
             SELECT doc_id, size, source_size, target,

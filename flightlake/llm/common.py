@@ -122,15 +122,24 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64-bit fingerprints of the words: sums of byte values times powers, then mixed."""
-        if len(self.starts) == 0:
-            return np.zeros(0, np.uint64)
         lengths = self.ends - self.starts
-        firsts = np.cumsum(lengths) - lengths
-        places = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(firsts, lengths)
-        values = _BYTE[self.data[self._inside]]
-        values *= _powers(int(lengths.max()))[places]
-        return mixed(np.add.reduceat(values, firsts) + lengths.astype(np.uint64))
-
+        out = np.zeros(len(lengths), np.uint64)
+        ends = np.cumsum(lengths)
+        done = 0
+        while done < len(lengths):
+            # So many words at once that their bytes take little memory.
+            base = int(ends[done - 1]) if done else 0
+            upto = max(done + 1, int(np.searchsorted(ends, base + _AT_ONCE, "right")))
+            some = lengths[done:upto]
+            firsts = np.cumsum(some) - some
+            places = np.arange(int(some.sum()), dtype=np.int32)
+            places -= np.repeat(firsts.astype(np.int32), some)
+            begin, end = self.starts[done], self.ends[upto - 1]
+            values = _BYTE[self.data[begin:end][self._inside[begin:end]]]
+            values *= _powers(int(some.max()))[places]
+            out[done:upto] = np.add.reduceat(values, firsts)
+            done = upto
+        return mixed(out + lengths.astype(np.uint64))
 
     def prefixes(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Fingerprints of the words' first bytes, and which words are longer than that.
@@ -169,6 +178,7 @@ def _powers(n: int) -> np.ndarray:
 
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
 _POWER = np.ones(1, np.uint64)
+_AT_ONCE = 1 << 20
 
 
 def pack_sorted(values: np.ndarray) -> bytes:

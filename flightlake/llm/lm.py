@@ -31,8 +31,8 @@ PRIOR = 128.0
 # Added to every count of a single token.
 ADDED = 0.1
 # Text per block of documents, and per range of n-gram fingerprints.
-BLOCK_BYTES = 6 << 20
-SHARD_BYTES = 12 << 20
+BLOCK_BYTES = 3 << 20
+SHARD_BYTES = 8 << 20
 # A long text is read in parts of so many tokens, each entered through the tokens before it.
 PART = 1024
 

@@ -1,0 +1,144 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import rows as plain
+from pyspark.sql import functions as F
+
+from flightlake.llm import decontam
+
+SF = "/root/testdata/sf0.01"
+
+
+def normal(text):
+    return " ".join(re.findall(r"[^\W_]+", (text or "").lower()))
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    return spark.read.parquet(f"{SF}/benchmark.parquet")
+
+
+@pytest.fixture(scope="module")
+def indexes(items):
+    return decontam.fit(items)
+
+
+def exhaustive(group, query, threshold):
+    scores = {}
+    for term in query:
+        for place, value in zip(*group.postings.get(term, ([], [])), strict=True):
+            scores[place] = scores.get(place, 0.0) + value
+    return sorted((p, s) for p, s in scores.items() if s >= threshold)
+
+
+def test_wand_finds_what_a_full_scan_finds(indexes):
+    rng = random.Random(4)
+    index = indexes[0]
+    seen = 0
+    for group in index.lists:
+        for _ in range(150):
+            query = set(rng.sample(range(len(index.terms)), min(30, len(index.terms))))
+            for place in rng.sample(range(len(group.items)), min(3, len(group.items))):
+                own = [t for t, (places, _) in group.postings.items() if place in places]
+                query |= set(rng.sample(own, rng.randint(0, len(own))))
+            for threshold in (0.2, 0.6, 0.9):
+                got = sorted(decontam.block_max_wand(group, sorted(query), threshold))
+                expected = exhaustive(group, query, threshold)
+                assert [p for p, _ in got] == [p for p, _ in expected]
+                assert np.allclose([s for _, s in got], [s for _, s in expected])
+                seen += len(got)
+    assert seen > 100
+
+
+def test_impacts_are_bm25(spark):
+    frame = spark.createDataFrame([(1, "a a b c d e"), (2, "a x y z"), (3, "q r s t")], "item_id long, text string")
+    index = decontam.fit(frame)[0]
+    hashes, _ = decontam.word_hashes(plain_array(["a b"]))
+    (group,) = index.lists
+    a, b = np.searchsorted(index.terms, hashes)
+    mean = (6 + 4 + 4) / 3
+
+    def weight(n, tf, length):
+        idf = np.log(1 + (3 - n + 0.5) / (n + 0.5))
+        return idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))
+
+    total = weight(2, 2, 6) + 4 * weight(1, 1, 6)
+    assert dict(zip(*group.postings[int(a)], strict=True))[0] == pytest.approx(weight(2, 2, 6) / total)
+    assert dict(zip(*group.postings[int(b)], strict=True))[0] == pytest.approx(weight(1, 1, 6) / total)
+
+
+def plain_array(texts):
+    import pyarrow as pa
+
+    return pa.array(texts, pa.string())
+
+
+def test_planted_passages_are_found_and_nothing_else(spark, items, indexes):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = {(r.doc_id, r.item_id) for r in decontam.find(docs, indexes).collect()}
+    texts = {r.doc_id: f" {normal(r.text)} " for r in docs.collect()}
+    expected = {
+        (doc, r.item_id) for r in items.collect() for doc, text in texts.items() if f" {normal(r.text)} " in text
+    }
+    assert expected and got == expected
+    kept = decontam.keep_clean(docs, indexes)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == set(texts) - {d for d, _ in got}
+
+
+def test_edited_and_moved_passages(spark, items, indexes):
+    row = max(items.collect(), key=lambda r: len(r.text))
+    words = row.text.split()
+    edited = list(words)
+    edited[len(words) // 3] = "edited"
+    filler = [f"filler{i}" for i in range(5000)]
+    texts = [
+        " ".join(filler[:k] + words + filler[k:]) for k in (0, 1, 31, 63, 64, 500, 4999)
+    ] + [
+        " ".join(filler[:77] + edited + filler[77:]),
+        row.text.upper().replace(" ", "\n\t "),
+        # The question without its answer, words in another order, and only common ones.
+        " ".join(decontam.question_and_answer(row.text)[0].split() + filler),
+        " ".join(sorted(words)),
+        " ".join(filler),
+    ]
+    got = decontam.find(plain.documents(spark, texts), indexes).collect()
+    assert {r.doc_id for r in got if r.item_id == row.item_id} == set(range(9))
+    assert all(0 < r.score <= 1.0001 for r in got)
+
+
+def test_several_indexes_find_the_same(spark, items, indexes, monkeypatch):
+    monkeypatch.setattr(decontam, "INDEX_BYTES", 30_000)
+    several = decontam.fit(items)
+    assert len(several) > 2
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    one = {tuple(r) for r in decontam.find(docs, indexes).collect()}
+    many = {tuple(r) for r in decontam.find(docs, several).collect()}
+    assert {r[:2] for r in one} == {r[:2] for r in many}
+    assert decontam.keep_clean(docs, several).count() == decontam.keep_clean(docs, indexes).count()
+
+
+def test_nulls_empty_tables_repeats_and_clashes(spark, items, indexes):
+    row = items.first()
+    docs = plain.documents(spark, [row.text, row.text, None, "", " "], ids=[1, 1, 2, None, 3])
+    docs = docs.withColumns({"score": F.lit("own"), "item_id": F.lit("own")})
+    assert [(r.doc_id, r.item_id) for r in decontam.find(docs, indexes).collect()] == [(1, row.item_id)] * 2
+    kept = decontam.keep_clean(docs, indexes)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {2, None, 3}
+    assert decontam.find(docs.limit(0), indexes).collect() == []
+    odd = spark.createDataFrame([(None, None, 1), (7, "", 1), (8, " ,", 1)], "item_id long, text string, x int")
+    assert decontam.fit(odd) == []
+    assert decontam.find(docs, []).collect() == []
+    assert decontam.keep_clean(docs, []).count() == 5
+    repeated = items.unionByName(items)
+    again = decontam.fit(repeated)
+    assert len(again[0].items) == len(indexes[0].items)
+
+
+def test_question_and_answer():
+    assert decontam.question_and_answer("Is it so? Yes it is.") == ("Is it so? ", "Yes it is.")
+    assert decontam.question_and_answer("a b c d e f g h") == ("a b c d e f", "g h")
+    assert decontam.question_and_answer("one") == ("", "one")
+    assert decontam.question_and_answer("") == ("", "")

@@ -1,0 +1,77 @@
+import numpy as np
+import pyarrow as pa
+import rows as plain
+from pyspark.sql import functions as F
+
+from flightlake.llm import langid
+
+SF = "/root/testdata/sf0.01"
+
+
+def gram_counter(text):
+    """Counts per bucket, gram by gram."""
+    data = (text or "").lower().encode()
+    runs = "".join(chr(b) if b >= 128 or 97 <= b <= 122 else " " for b in data).split(" ")
+    line = "".join(f" {r}" for r in runs if r) + " "
+    out = np.zeros(langid.BUCKETS)
+    line = [ord(c) for c in line] if line.strip() else []
+    for i in range(len(line) - 2):
+        code = line[i] << 16 | line[i + 1] << 8 | line[i + 2]
+        out[(code * 0x9E3779B97F4A7C15 % (1 << 64)) >> (64 - 13)] += 1
+    return out
+
+
+def test_grams_match_a_plain_count():
+    texts = ["Ab cd", "  Élan\nvital 12x ", "", None, "!!!", "a", "x" * 50]
+    got = langid.gram_counts(pa.array(texts, pa.string()))
+    for text, row in zip(texts, got, strict=True):
+        # The last text's end has no space after it within its own grams.
+        assert np.abs(row - gram_counter(text)).sum() <= 1
+
+
+def test_held_out_accuracy_and_few_rejections(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = langid.fit(docs, ~held)
+    got = langid.identify(docs.filter(held), model, keep_text=False).toPandas()
+    assert (got["lang"] == got["lang_pred"]).mean() > 0.98
+    assert got["score"].between(0, 1).all()
+    assert got["rejected"].mean() < 0.01
+
+
+def test_rejects_what_no_language_resembles(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs, F.lit(True))
+    odd = plain.documents(
+        spark, ["Съешь ещё этих мягких французских булок да выпей чаю " * 5, "12 34 !!", "", None]
+    )
+    got = {r.doc_id: r for r in langid.identify(odd, model).collect()}
+    assert all(r.rejected for r in got.values())
+    assert got[0].lang_pred in model.languages
+    assert [got[i].lang_pred for i in (1, 2, 3)] == ["und"] * 3
+    assert [got[i].score for i in (1, 2, 3)] == [0.0] * 3
+    assert langid.keep_identified(odd, model).collect() == []
+    kept = langid.keep_identified(docs, model)
+    assert kept.columns == docs.columns and kept.count() > 0.99 * docs.count()
+
+
+def test_nothing_learned_empty_tables_repeats_and_clashes(spark):
+    docs = plain.documents(spark, ["un deux trois", "un deux trois"], ids=[1, 1])
+    model = langid.fit(docs, F.lit(True))
+    assert model.languages == []
+    got = langid.identify(docs, model).collect()
+    assert [(r.lang_pred, r.score, r.rejected) for r in got] == [("und", 0.0, True)] * 2
+    assert langid.identify(docs.limit(0), model).collect() == []
+    labelled = plain.documents(spark, ["un deux trois", "one two three"], lang=["fr", "en"])
+    model = langid.fit(labelled, F.lit(True))
+    clash = docs.withColumns({"score": F.lit("own"), "REJECTED": F.lit("own"), "at": F.lit(1)})
+    got = langid.identify(clash, model).collect()
+    assert {r.lang_pred for r in got} == {"fr"} and got[0].score == got[1].score > 0.9
+    assert langid.keep_identified(clash, model).columns == clash.columns
+
+
+def test_sample_is_bounded_and_the_same_each_time(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    one, two = (langid.fit(d, F.lit(True), sample=20) for d in (docs, docs.repartition(7)))
+    assert np.array_equal(one.centroids, two.centroids)
+    assert len(one.centroids) == langid.CENTROIDS * 4

@@ -1,0 +1,92 @@
+import collections
+import math
+
+import pytest
+import rows as plain
+from pyspark.sql import functions as F
+
+from flightlake.llm import lm
+
+
+def brute(texts, learn, order, prior):
+    """Scores by the definition: p(w | h) = (c(h w) + prior p(w | shorter h)) / (c(h) + prior)."""
+    counts, n = collections.Counter(), 0
+    tokens = [["<s>", *(w.lower() for w in plain.words(t)), "</s>"] for t in texts]
+    for row, learned in zip(tokens, learn, strict=True):
+        if learned:
+            n += len(row) - 1
+            for k in range(1, order + 1):
+                counts.update(tuple(row[j : j + k]) for j in range(len(row) - k + 1))
+    v = sum(1 for g in counts if len(g) == 1 and g[0] != "<s>")
+
+    def p(h, w):
+        if not h:
+            return (counts[(w,)] + 0.1) / (n + 0.1 * (v + 1))
+        return (counts[(*h, w)] + prior * p(h[1:], w)) / (counts[h] + prior)
+
+    for row in tokens:
+        places = range(1, len(row))
+        yield (
+            len(row) - 1,
+            sum(counts[(w,)] > 0 for w in row[1:]),
+            n,
+            sum(math.log10(p((), w)) for w in row[1:]),
+            sum(math.log10(p(tuple(row[max(0, j - order + 1) : j]), row[j])) for j in places),
+        )
+
+
+def check(spark, texts, learn, order=2, **sizes):
+    docs = plain.documents(spark, texts).withColumn(
+        "learn", F.element_at(F.array(*[F.lit(x) for x in learn]), (F.col("doc_id") + 1).cast("int"))
+    )
+    got = lm.score(docs, F.col("learn"), keep=["doc_id"], order=order, **sizes).orderBy("doc_id")
+    expected = list(brute(texts, learn, order, lm.PRIOR))
+    rows = got.collect()
+    assert len(rows) == len(texts)
+    for r, e in zip(rows, expected, strict=True):
+        assert (r.n_tokens, r.n_known, r.train_tokens) == e[:3]
+        assert r.base_score == pytest.approx(e[3], abs=1e-8)
+        assert r.score == pytest.approx(e[4], abs=1e-8)
+
+
+TEXTS = ["A b a\tc", "a B a b", "", None, "  \n", "c é É", "a b a c", "unseen words here", "a " * 3000]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_small_texts(spark, order):
+    check(spark, TEXTS, [i not in (5, 7) for i in range(len(TEXTS))], order)
+
+
+def test_many_blocks_and_shards_change_nothing(spark):
+    source = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id")
+    texts = [r.text for r in source.collect()]
+    learn = [plain.remainder(i, 10) != 0 for i in range(len(texts))]
+    check(spark, texts, learn, 2, block_bytes=30_000, shard_bytes=20_000)
+
+
+def test_nothing_to_learn_from(spark):
+    check(spark, ["a b", ""], [False, False])
+
+
+def test_probabilities_of_a_history_sum_to_one(spark):
+    texts = ["a b c a b", "b c", "a"]
+    v = {"a", "b", "c", "</s>"}
+    counts = collections.Counter()
+    for t in texts:
+        counts.update(["<s>", *t.split(), "</s>"])
+    total = sum(counts[w] for w in v)
+    base = {w: (counts[w] + 0.1) / (total + 0.1 * (len(v) + 1)) for w in v}
+    # The rest is the share of the unseen token.
+    unseen = 0.1 / (total + 0.1 * (len(v) + 1))
+    assert sum(base.values()) + unseen == pytest.approx(1)
+
+
+def test_empty_table_and_clashing_columns(spark):
+    empty = plain.documents(spark, [])
+    assert lm.score(empty, F.lit(True)).collect() == []
+    docs = plain.documents(spark, ["a", "a"], ids=[1, 1]).withColumns(
+        {"score": F.lit("own"), "block": F.lit("own"), "learn": F.lit("own")}
+    )
+    got = lm.score(docs, F.lit(True)).collect()
+    assert [r.block for r in got] == ["own", "own"] and got[0].score == got[1].score
+    assert got[0].train_tokens == 4

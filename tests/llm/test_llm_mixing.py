@@ -1,0 +1,109 @@
+import hashlib
+import math
+import re
+
+import compare
+import pytest
+import rows as plain
+from pyspark.sql import functions as F
+
+from flightlake.llm import mixing, queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def slow_targets(sizes, share=1.5):
+    """Shares by weight; what is above a limit is dealt out anew until nothing is."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    total, target, full = share * sum(sizes.values()), {}, set()
+    while True:
+        rest = total - sum(2 * sizes[s] for s in full)
+        open_ones = [s for s in names if s not in full]
+        weight = sum(weights[s] for s in open_ones)
+        target = {s: 2.0 * sizes[s] if s in full else rest * weights[s] / weight for s in names}
+        over = [s for s in open_ones if target[s] > 2 * sizes[s]]
+        if not over:
+            return target
+        full |= set(over)
+
+
+def slow_mix(rows, quality):
+    size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, (_, t, _) in enumerate(rows)}
+    sources = {}
+    for i, (_, _, s) in enumerate(rows):
+        sources[s] = sources.get(s, 0) + size[i]
+    targets = slow_targets(sources)
+
+    def key(i):
+        name = "" if rows[i][0] is None else str(rows[i][0])
+        u = (int(hashlib.md5(name.encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        return -math.log(u) / quality.get(rows[i][0], 1.0)
+
+    out = []
+    for s, total in sources.items():
+        epochs = int(targets[s] // total) if total else 0
+        left = targets[s] - epochs * total
+        mine = [i for i in range(len(rows)) if rows[i][2] == s]
+        mine.sort(key=lambda i: (key(i), rows[i][0] or 0, size[i]))
+        for i in mine:
+            peers = (key(i), rows[i][0] or 0, size[i])
+            run = sum(size[j] for j in mine if (key(j), rows[j][0] or 0, size[j]) <= peers)
+            copies = epochs + (run - size[i] / 2 < left)
+            out.append((str(rows[i][0]), size[i], total, round(targets[s], 6), copies * size[i]))
+    return sorted(out)
+
+
+def mixed_rows(spark, rows, quality=None, **sizes):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = None
+    if quality:
+        weights = spark.createDataFrame(list(quality.items()), "doc_id long, quality_weight double")
+    got = mixing.mix(docs, weights, **sizes).collect()
+    return sorted((str(r.doc_id), r.size, r.source_size, round(r.target, 6), r.taken) for r in got)
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 4096])
+def test_matches_brute_force(spark, buckets):
+    rows = [(i, "w " * (i * 37 % 90), f"s{i * i % 11}") for i in range(150)]
+    rows += [(200 + i, "v " * 50, "hot") for i in range(200)]
+    rows += [(500, None, None), (501, " \t\n", None), (502, "x y z", None), (None, "a b", "s0")]
+    rows += [(7, "w " * 40, "s5"), (7, "w " * 40, "s5"), (510, "", "none")]
+    quality = {i: 2.0 if i % 2 else 0.5 for i in range(0, 300, 3)}
+    assert mixed_rows(spark, rows, quality, buckets=buckets) == slow_mix(rows, quality)
+
+
+def test_targets_are_met_and_no_document_is_taken_too_often(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = mixing.mix(docs).toPandas()
+    assert (got["taken"] <= 2 * got["size"]).all()
+    by_source = got.groupby("source").agg({"taken": "sum", "target": "first", "size": "max"})
+    assert ((by_source["taken"] - by_source["target"]).abs() <= by_source["size"] / 2 + 1).all()
+    total = got["size"].sum()
+    assert by_source["target"].sum() == pytest.approx(1.5 * total)
+
+
+def test_oracle(spark):
+    found = compare.spark_rows(queries.QUERIES["op6_mixing"](spark, SF))
+    assert found == compare.oracle_rows(compare.connect(SF), queries.ORACLES["op6_mixing"])
+
+
+def test_empty_table_clashing_columns_and_reruns(spark):
+    docs = plain.documents(spark, ["a b", "c"], source=["x", None])
+    clash = docs.withColumns({"size": F.lit("own"), "Taken": F.lit("own"), "mix_key": F.lit("own")})
+    got = mixing.mix(clash).collect()
+    assert [r.mix_key for r in got] == ["own", "own"] and sum(r.size for r in got) == 3
+    assert mixing.mix(docs.limit(0)).collect() == []
+    labels = spark.createDataFrame([(0, 1, 5), (0, 0, 5), (None, 1, 5)], "doc_id long, quality int, size int")
+    weights = mixing.quality_weights(labels)
+    assert [tuple(r) for r in weights.collect()] == [(0, 2.0)]
+    assert sorted(mixing.mix(docs, weights).collect()) == sorted(
+        mixing.mix(docs.repartition(3), weights).collect()
+    )
+
+
+def test_only_functions_on_columns(spark):
+    """No Python in the plan."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = mixing.mix(docs)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from flightlake.operators.traffic import enforce_schema
 from flightlake.schemas import GoldTable
 from flightlake.session import parse_day
-from flightlake.sources.tables import exists, read_date, read_dated, write_dated
+from flightlake.sources.tables import exists, read_date, read_dated, write_date, write_dated
 
 
 def ranking_order(table: GoldTable) -> list[Column]:
@@ -59,7 +59,8 @@ def read_gold_day(spark: SparkSession, path: str, day, table: GoldTable) -> Data
 
 
 def write_gold_day(gold: DataFrame, path: str, day: str | dt.date, table: GoldTable) -> None:
-    write_gold(gold.where(F.col("flight_date") == F.lit(parse_day(day))), path, table)
+    """Replace one date by its rows in `gold`, none included."""
+    write_date(enforce_schema(gold, table.schema), path, day, ranking_order(table))
 
 
 def upsert_gold(spark: SparkSession, batch: DataFrame, path: str, table: GoldTable) -> None:
@@ -67,7 +68,9 @@ def upsert_gold(spark: SparkSession, batch: DataFrame, path: str, table: GoldTab
 
     The key contains the date, so the other dates cannot conflict and are not even read. The
     new partitions are staged and swapped in at the end, which is why reading and replacing
-    the same table is safe here. Running the batch again gives the same table.
+    the same table is safe here. Running the batch again gives the same table. The batch is
+    computed several times (unique keys, dates, both sides of the join), so it should be a
+    stored one, as gold is.
     """
     batch = enforce_schema(batch, table.schema)
     require_unique(batch, table.key)

@@ -17,7 +17,6 @@ from flightlake.schemas import (
     COUNTRY_TRAFFIC,
     ENRICHED_SCHEMA,
     GOLD_TABLES,
-    PAYLOAD_SCHEMA,
     ROUTE_TRAFFIC,
     SILVER_SCHEMA,
 )
@@ -51,25 +50,26 @@ class Lake:
         return f"{self.root}/warehouse/{table.name}"
 
 
-def land_payload(
-    spark: SparkSession, lake: Lake, path: str, start: dt.datetime, end: dt.datetime
-) -> str:
-    """Bronze batch of one window from its raw payload file."""
-    raw = payload.read_payload(prepare(spark), path)
-    return payload.write_bronze(payload.project_payload(raw), lake.bronze, start, end)
+def land_windows(
+    spark: SparkSession, lake: Lake, payload_dir: str, day: str | dt.date, names: list[str]
+) -> None:
+    """Bronze batches of the named windows of a day, from payload files in one job.
+
+    A window's files are named like its batch, with `.json` (an array of objects) or `.jsonl`
+    (an object per line) for `.csv`, and anything between. Each window must have a payload,
+    which is checked before anything is written; one without flights has a file that holds
+    `[]`. A broken file is an error and leaves bronze as it was.
+    """
+    files = payload.payload_files(prepare(spark), payload_dir, day)
+    payload.require_windows(files, names)
+    raw = payload.read_payload(spark, [p for name in names for p in files[name]])
+    bronze.write_landed(payload.project_payload(raw), lake.bronze, day, names)
 
 
 def land_day(spark: SparkSession, lake: Lake, payload_dir: str, day: str | dt.date) -> DataFrame:
-    """Backfill a day's bronze from payload files named like the batches, with .json for .csv.
-    A window without a file had no flights and gets an empty batch. Returns rows per window."""
-    for start, end in windows.day_windows(day):
-        label = times.window_label_of(start, end)
-        path = f"{payload_dir.rstrip('/')}/{label.removesuffix('.csv')}.json"
-        if tables.exists(spark, path):
-            land_payload(spark, lake, path, start, end)
-        else:
-            nothing = spark.createDataFrame([], PAYLOAD_SCHEMA)
-            payload.write_bronze(payload.project_payload(nothing), lake.bronze, start, end)
+    """Backfill a whole day's bronze. Returns rows per window."""
+    names = [times.window_label_of(*window) for window in windows.day_windows(day)]
+    land_windows(spark, lake, payload_dir, day, names)
     return landed_windows(spark, lake, day)
 
 
@@ -94,7 +94,8 @@ def enrich_day(
     flights = tables.read_day(prepare(spark), lake.silver, SILVER_SCHEMA, day)
     reference = airports.read_airports(spark, lake.airports_csv, na_tokens)
     lookup = enrich.build_lookup(reference)
-    tables.write_day(enrich.enrich_flights(flights, lookup), lake.enriched, day)
+    small = enrich.is_broadcastable(lookup)
+    tables.write_day(enrich.enrich_flights(flights, lookup, small), lake.enriched, day)
 
 
 def enriched_flights_of(spark: SparkSession, lake: Lake, day: str | dt.date) -> DataFrame:
@@ -105,7 +106,8 @@ def enriched_flights_of(spark: SparkSession, lake: Lake, day: str | dt.date) ->
 
 
 def gold_day(spark: SparkSession, lake: Lake, day: str | dt.date) -> None:
-    """Each gold table reads the columns it needs from the enriched partition."""
+    """The three gold tables of a date, each replaced as a whole, by nothing if need be.
+    Airports and countries count the same activity of aircraft at airports."""
     flights = enriched_flights_of(spark, lake, day)
     if flights.isEmpty():
         raise ValueError(f"no flights depart on {parse_day(day)}")

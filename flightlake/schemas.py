@@ -22,6 +22,9 @@ PAYLOAD_TO_BRONZE = {
 
 BRONZE_COLUMNS = list(PAYLOAD_TO_BRONZE.values())
 
+# Batches keep the names of the CSV files they first were, however they are stored.
+BATCH_SUFFIX = ".csv"
+
 # Header line, and quotes inside quoted text doubled.
 CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
 
@@ -42,6 +45,22 @@ def _strings(names) -> T.StructType:
 # Text throughout, so ids such as 004012 and malformed numbers reach silver untouched.
 PAYLOAD_SCHEMA = _strings(PAYLOAD_TO_BRONZE)
 BRONZE_SCHEMA = _strings(BRONZE_COLUMNS)
+LANDED_SCHEMA = T.StructType(
+    [
+        *BRONZE_SCHEMA.fields,
+        T.StructField(
+            "row_order",
+            T.StructType(
+                [
+                    T.StructField("part", T.StringType()),
+                    T.StructField("block", T.LongType()),
+                    T.StructField("id", T.LongType()),
+                ]
+            ),
+        ),
+        T.StructField("bronze_file", T.StringType()),
+    ]
+)
 
 AIRPORT_COLUMNS = ["ident", "name", "iso_country", "icao_code", "iata_code"]
 

@@ -5,12 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.functions import text
-from flightlake.schemas import BRONZE_COLUMNS, CSV_FORMAT
+from flightlake.schemas import BRONZE_COLUMNS, CSV_FORMAT, LANDED_SCHEMA
 from flightlake.session import parse_day
+from flightlake.sources import tables
 
 LINEAGE = "bronze_file"
 ROW_ORDER = "row_order"
@@ -32,6 +36,91 @@ def batch_glob(bronze_dir: str, day: str | dt.date) -> str:
     return f"{bronze_dir.rstrip('/')}/flights_{parse_day(day).isoformat()}_*.csv"
 
 
+def landed_path(bronze_dir: str) -> str:
+    """Where landed batches are stored, by ingestion date and batch."""
+    return f"{bronze_dir.rstrip('/')}/landed"
+
+
+def write_landed(
+    batches: DataFrame, bronze_dir: str, day: str | dt.date, names: Iterable[str]
+) -> None:
+    """Replace the named batches of a date, all in one job; those without rows become empty.
+
+    Parquet keeps every text as it is, line breaks and padding included.
+    """
+    day = parse_day(day)
+    dated = batches.withColumn(tables.INGEST_DATE, F.lit(day)).select(
+        *BRONZE_COLUMNS, ROW_ORDER, tables.INGEST_DATE, LINEAGE
+    )
+    tables.replace_partitions(
+        dated,
+        landed_path(bronze_dir),
+        [tables.INGEST_DATE, LINEAGE],
+        [(day.isoformat(), name) for name in names],
+    )
+
+
+def _read_landed(spark: SparkSession, bronze_dir: str, day: str | dt.date) -> DataFrame:
+    return tables.read_partition(
+        spark, landed_path(bronze_dir), LANDED_SCHEMA, tables.INGEST_DATE, day
+    ).select(*BRONZE_COLUMNS, LINEAGE, ROW_ORDER)
+
+
+def csv_headers(spark: SparkSession, paths: str) -> dict[str, list[str]]:
+    """The files by their header line. One job reads them as plain lines; what comes to the
+    driver is a line per file."""
+    lines = spark.read.text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+    first = (
+        lines.where("block = 0")
+        .groupBy("path")
+        .agg(F.min_by("value", F.struct("block", "id")).alias("header"))
+    )
+    found: dict[str, list[str]] = {}
+    for row in first.orderBy("path").collect():
+        found.setdefault(row["header"].removeprefix("\ufeff"), []).append(row["path"])
+    return found
+
+
+def _read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Files of one header. A row with fewer or more fields than the header is an error, and
+    stays one when only some columns are asked for."""
+    raw = (
+        spark.read.options(**CSV_FORMAT)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)
+        .csv(paths)
+    )
+    batch, part = batch_and_part(F.col("_metadata.file_name"), F.col("_metadata.file_path"))
+    return normalize_headers(
+        raw.select(
+            "*",
+            batch.alias(LINEAGE),
+            F.struct(
+                part.alias("part"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("id"),
+            ).alias(ROW_ORDER),
+        )
+    )
+
+
+def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
+    """Bronze frames one after the other, columns matched by name, missing ones null."""
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    have = set(both.columns)
+    return both.select(
+        *[c if c in have else F.lit(None).cast("string").alias(c) for c in BRONZE_COLUMNS],
+        LINEAGE,
+        ROW_ORDER,
+    )
+
+
 def read_bronze(
     spark: SparkSession,
     bronze_dir: str,
@@ -40,31 +129,41 @@ def read_bronze(
 ) -> DataFrame:
     """All batches of `day`, as text, plus `bronze_file` and `row_order`.
 
-    One scan over all files: the union of the batches needs no union operator. No batch for
-    the day is an error (PATH_NOT_FOUND), and so is a file whose header differs from the
-    others', because columns are never matched by position.
+    Batches are either landed (Parquet) or CSV files delivered ready, of which those named like
+    a landed one are older deliveries and left out. One scan reads all landed batches and one
+    all CSV files of the same header; files whose header has other columns, or others first, are
+    united by column name. No batch for the day is an error (PATH_NOT_FOUND).
 
     `row_order` is (part, block, id). The part names the file inside a batch that is a folder
     and is null for a batch that is a file, which spares the shuffle a second long name. The
     id grows along a scan task, so within a block it follows the lines; a retried task yields
     the same ids again.
     """
-    raw = (
-        spark.read.options(**CSV_FORMAT)
-        .option("enforceSchema", False)
-        .csv(batch_glob(bronze_dir, day))
-    )
-    batch, part = batch_and_part(F.col("_metadata.file_name"), F.col("_metadata.file_path"))
-    raw = raw.select(
-        "*",
-        batch.alias(LINEAGE),
-        F.struct(
-            part.alias("part"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("id"),
-        ).alias(ROW_ORDER),
-    )
-    return normalize_headers(raw).select(
+    frames, landed = [], set()
+    try:
+        frames.append(_read_landed(spark, bronze_dir, day))
+        folder = f"{landed_path(bronze_dir)}/{tables.INGEST_DATE}={parse_day(day).isoformat()}"
+        mark = f"{LINEAGE}="
+        landed = {
+            part.removeprefix(mark)
+            for file in tables.files_of(spark, folder)
+            for part in file.split("/")
+            if part.startswith(mark)
+        }
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    try:
+        headers = csv_headers(spark, batch_glob(bronze_dir, day))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND" or not frames:
+            raise
+        headers = {}
+    for paths in headers.values():
+        ready = [p for p in paths if not landed & set(p.split("/")[-2:])]
+        if ready:
+            frames.append(_read_csv(spark, ready))
+    return union_by_name(frames).select(
         *[text.null_tokens(F.col(c), na_tokens).alias(c) for c in BRONZE_COLUMNS],
         LINEAGE,
         ROW_ORDER,

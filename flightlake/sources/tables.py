@@ -1,10 +1,11 @@
-"""Parquet tables from silver on, each partitioned by a date."""
+"""Parquet tables from landing on, each partitioned by a date."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,29 +15,67 @@ from flightlake.session import parse_day
 INGEST_DATE = "ingest_date"
 
 
+def files_of(spark: SparkSession, path: str) -> list[str]:
+    """The files below a file or folder, by listing; none if it is not there."""
+    try:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        return listed.inputFiles()
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder is there, on whatever storage the path names."""
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+    """Whether a file or folder with files is there, on whatever storage the path names."""
+    return bool(files_of(spark, path))
 
 
-def _write(df: DataFrame, path: str, partition_column: str) -> None:
+def _write(df: DataFrame, path: str, *partition_columns: str) -> None:
     # Only the partitions present in `df` are replaced, and only after all tasks have
-    # succeeded, so a lost executor costs a retry and never half a table.
+    # succeeded, so a lost executor costs a retry. The swap itself is a delete and a rename per
+    # file: on a store without atomic renames a driver lost in between leaves a partition that
+    # the next run of the date replaces.
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_column)
+        .partitionBy(*partition_columns)
         .parquet(path)
     )
 
 
+def replace_partitions(
+    df: DataFrame, path: str, columns: Sequence[str], partitions: Iterable[Sequence[str]]
+) -> None:
+    """Write `df`, which holds rows of the named partitions only, so that each of them ends with
+    exactly these rows.
+
+    A dynamic overwrite leaves partitions alone for which there are no rows. Those are known by
+    their files, which are still the old ones, and are then replaced by an empty file. So the
+    frame is computed once, and no partition is deleted before its rows are written.
+    """
+    spark = df.sparkSession
+    partitions = [tuple(map(str, values)) for values in partitions]
+    folders = {
+        values: "/".join([path, *(f"{c}={v}" for c, v in zip(columns, values, strict=True))])
+        for values in partitions
+    }
+    before = {values: set(files_of(spark, folder)) for values, folder in folders.items()}
+    _write(df, path, *columns)
+    nothing = spark.createDataFrame([], df.drop(*columns).schema)
+    for values, folder in folders.items():
+        if set(files_of(spark, folder)) == before[values]:
+            nothing.coalesce(1).write.mode("overwrite").parquet(folder)
+
+
 def write_day(df: DataFrame, path: str, day: str | dt.date) -> None:
     """Replace one ingestion date of a flight-level table, keeping the frame's partitioning."""
-    _write(df.withColumn(INGEST_DATE, F.lit(parse_day(day))), path, INGEST_DATE)
+    day = parse_day(day)
+    dated = df.withColumn(INGEST_DATE, F.lit(day))
+    replace_partitions(dated, path, [INGEST_DATE], [(day.isoformat(),)])
 
 
-def _read_partition(spark, path: str, schema: T.StructType, column: str, day) -> DataFrame:
+def read_partition(spark, path: str, schema: T.StructType, column: str, day) -> DataFrame:
     """One date of a table. Only its own folder is listed, however many dates the table has;
     a missing table or date is an error."""
     fields = [f for f in schema if f.name != column] + [T.StructField(column, T.DateType())]
@@ -50,18 +89,26 @@ def _read_partition(spark, path: str, schema: T.StructType, column: str, day) ->
 
 def read_day(spark: SparkSession, path: str, schema: T.StructType, day: str | dt.date) -> DataFrame:
     """One ingestion date of a flight-level table."""
-    return _read_partition(spark, path, schema, INGEST_DATE, day)
+    return read_partition(spark, path, schema, INGEST_DATE, day)
+
+
+def _compacted(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """A date's rows together and sorted, so that a write of many dates does not leave one
+    small file per task and date; adaptive execution splits a date too large for one task."""
+    compact = df.hint("rebalance", F.col("flight_date"))
+    return compact.sortWithinPartitions("flight_date", *order)
 
 
 def write_dated(df: DataFrame, path: str, order: Sequence[Column]) -> None:
-    """Replace the flight dates present in `df`, each date sorted by `order`.
+    """Replace the flight dates present in `df`, each date sorted by `order`."""
+    _write(_compacted(df, order), path, "flight_date")
 
-    The rebalance brings a date's rows together so that a write of many dates does not leave
-    one small file per task and date; adaptive execution splits a date that is too large for
-    one task.
-    """
-    compact = df.hint("rebalance", F.col("flight_date"))
-    _write(compact.sortWithinPartitions("flight_date", *order), path, "flight_date")
+
+def write_date(df: DataFrame, path: str, day: str | dt.date, order: Sequence[Column]) -> None:
+    """Replace one flight date, by nothing if `df` has no rows of it."""
+    day = parse_day(day)
+    of_day = df.where(F.col("flight_date") == F.lit(day))
+    replace_partitions(_compacted(of_day, order), path, ["flight_date"], [(day.isoformat(),)])
 
 
 def read_dated(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -70,4 +117,4 @@ def read_dated(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 def read_date(spark: SparkSession, path: str, schema: T.StructType, day: str | dt.date) -> DataFrame:
     """One flight date of a gold table."""
-    return _read_partition(spark, path, schema, "flight_date", day)
+    return read_partition(spark, path, schema, "flight_date", day)

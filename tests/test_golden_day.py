@@ -1,3 +1,4 @@
+import glob
 import json
 import os
 
@@ -5,8 +6,10 @@ import pytest
 from pyspark.errors import AnalysisException
 
 import golden
+from flightlake.functions import times
 from flightlake.operators import enrich, history, measures, silver, traffic
 from flightlake.plans import day as daily
+from flightlake.plans import windows
 from flightlake.schemas import (
     AIRPORT_TRAFFIC,
     BRONZE_COLUMNS,
@@ -61,11 +64,34 @@ def test_untidy_headers_are_normalised(spark, folder):
     assert golden.rows(scan.select("icao24", "arrival_airport")) == [("004012", "EGLL")]
 
 
-def test_columns_are_never_matched_by_position(spark, lake):
+def test_columns_are_matched_by_name(spark, lake):
+    """Batches with columns in another order, or fewer of them, join the others."""
     moved = BRONZE_COLUMNS[::-1]
     golden.write_csv(f"{lake.bronze}/{golden.F2}", moved, [list("abcdefghijkl")])
-    with pytest.raises(Exception, match="(?i)header"):
+    fewer = BRONZE_COLUMNS[:6]
+    late = golden.F2.replace("04-00_to_06-00", "06-00_to_08-00")
+    golden.write_csv(f"{lake.bronze}/{late}", [*fewer, "other"], [list("mnopqrs"), list("tuvwxyz")])
+    scan = batches(spark, lake)
+    assert scan.columns == BRONZE_COLUMNS + ["bronze_file", "row_order"]
+    assert scan.count() == 15
+    odd = scan.where("bronze_file = 'X' or icao24 in ('l', 'm', 't')")
+    found = golden.rows(odd.orderBy("bronze_file", "row_order").drop("row_order", "bronze_file"))
+    assert found[0] == tuple("lkjihgfedcba")
+    assert found[1:] == [(*"mnopqr", *[None] * 6), (*"tuvwxy", *[None] * 6)]
+    # Row order, and with it the first copy of a flight, is that of the files.
+    order = scan.where(f"bronze_file = '{late}'").orderBy("row_order")
+    assert [r["icao24"] for r in order.collect()] == ["m", "t"]
+
+
+@pytest.mark.parametrize("fields", [["a"] * 14, ["a"] * 3])
+def test_a_ragged_row_is_an_error(spark, lake, fields):
+    with open(f"{lake.bronze}/{golden.F1}", "a") as out:
+        out.write(",".join(fields) + "\n")
+    assert spark.conf.get("spark.sql.csv.parser.columnPruning.enabled") == "true"
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
         batches(spark, lake).collect()
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        batches(spark, lake).select("icao24").collect()
 
 
 def test_silver(spark, lake):
@@ -197,32 +223,153 @@ def test_all_missing_tokens(spark, lake):
     assert scan.where("icao24 = '' or callsign = ''").isEmpty() and scan.count() == 12
 
 
-def test_payload_to_bronze_to_gold(spark, folder):
-    """The same flights landed from JSON payloads instead of ready CSV files."""
+FIELDS = ["icao24", "firstSeen", "estDepartureAirport", "lastSeen", "estArrivalAirport", "callsign"]
+
+
+def write_payloads(folder, flights=golden.FLIGHTS):
+    """A payload for each window of the day, empty ones included."""
+    os.makedirs(folder, exist_ok=True)
+    for window in windows.day_windows(golden.DAY):
+        batch = times.window_label_of(*window)
+        objects = [dict(zip(FIELDS, f[1:])) for f in flights if f[0] == batch]
+        with open(f"{folder}/{batch.replace('.csv', '.json')}", "w") as out:
+            json.dump(objects, out)
+    return folder
+
+
+@pytest.fixture
+def landing(folder):
+    """A lake without batches, and the golden day's payloads."""
     reference = golden.write_lake(f"{folder}/unused", flights=[])
-    lake = daily.Lake(f"{folder}/lake", reference)
-    names = ["icao24", "firstSeen", "estDepartureAirport", "lastSeen", "estArrivalAirport", "callsign"]
-    os.makedirs(f"{folder}/payload")
-    for batch in (golden.F0, golden.F1, golden.F2):
-        flights = [dict(zip(names, f[1:])) for f in golden.FLIGHTS if f[0] == batch]
-        with open(f"{folder}/payload/{batch.replace('.csv', '.json')}", "w") as out:
-            json.dump(flights, out)
-    landed = daily.land_day(spark, lake, f"{folder}/payload", golden.DAY)
+    return daily.Lake(f"{folder}/lake", reference), write_payloads(f"{folder}/payload")
+
+
+def landed_files(lake):
+    found = glob.glob(f"{lake.bronze}/landed/**/*.parquet", recursive=True)
+    return {(f, os.stat(f).st_mtime_ns) for f in found}
+
+
+def test_payload_to_bronze_to_gold(spark, landing):
+    """The same flights landed from JSON payloads instead of ready CSV files."""
+    lake, payloads = landing
+    landed = daily.land_day(spark, lake, payloads, golden.DAY)
     arrived = {r["bronze_file"]: r["row_count"] for r in landed.collect()}
     assert len(arrived) == 12 and sum(arrived.values()) == 12
     assert arrived[golden.F0] == arrived[golden.F1] == 6 and arrived[golden.F2] == 0
     scan = bronze.read_bronze(spark, lake.bronze, golden.DAY)
     raw = scan.where("callsign = 'ai101 '").select("icao24", "first_seen", "arrival_airport")
     assert golden.rows(raw) == [(" 4ca1fa ", str(golden.T0 + 3600), "VABB ")]
+    ids = [r["icao24"] for r in scan.orderBy("bronze_file", "row_order").collect()]
+    assert ids == [f[1] for f in golden.FLIGHTS]
     gold = daily.run_day(spark, lake, golden.DAY)
     for name, expected in EXPECTED.items():
         assert set(golden.rows(gold[name])) == expected
 
 
-def test_last_window_of_a_day_is_labelled_with_its_start_date():
-    from flightlake.functions import times
-    from flightlake.plans import windows
+def test_a_missing_payload_stops_before_anything_is_written(spark, landing):
+    lake, payloads = landing
+    daily.land_day(spark, lake, payloads, golden.DAY)
+    before = landed_files(lake)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        daily.land_day(spark, lake, f"{payloads}-mistyped", golden.DAY)
+    os.remove(f"{payloads}/{golden.F1.replace('.csv', '.json')}")
+    with pytest.raises(ValueError, match="02-00_to_04-00"):
+        daily.land_day(spark, lake, payloads, golden.DAY)
+    assert landed_files(lake) == before
+
+
+def test_a_cut_off_payload_is_an_error(spark, landing):
+    lake, payloads = landing
+    daily.land_day(spark, lake, payloads, golden.DAY)
+    before = landed_files(lake)
+    path = f"{payloads}/{golden.F0.replace('.csv', '.json')}"
+    with open(path) as file:
+        text = file.read()
+    for cut in (len(text) // 2, len(text) - 1):
+        with open(path, "w") as out:
+            out.write(text[:cut])
+        with pytest.raises(Exception, match="(?i)malformed"):
+            daily.land_day(spark, lake, payloads, golden.DAY)
+    assert landed_files(lake) == before
+
+
+def test_several_files_per_window(spark, landing):
+    """Parts of a window, arrays and lines, land in one job and in their order."""
+    lake, payloads = landing
+    window = golden.F0.removesuffix(".csv")
+    os.remove(f"{payloads}/{window}.json")
+    objects = [dict(zip(FIELDS, f[1:])) for f in golden.FLIGHTS if f[0] == golden.F0]
+    with open(f"{payloads}/{window}-part-0.json", "w") as out:
+        json.dump(objects[:2], out)
+    with open(f"{payloads}/{window}-part-1.jsonl", "w") as out:
+        out.writelines(json.dumps(o) + "\n" for o in objects[2:5])
+    with open(f"{payloads}/{window}-part-2.json", "w") as out:
+        json.dump(objects[5:], out)
+    daily.land_day(spark, lake, payloads, golden.DAY)
+    scan = bronze.read_bronze(spark, lake.bronze, golden.DAY)
+    ids = [r["icao24"] for r in scan.orderBy("bronze_file", "row_order").collect()]
+    assert ids == [f[1] for f in golden.FLIGHTS]
+    assert dict(golden.rows(bronze.batch_counts(scan))) == {golden.F0: 6, golden.F1: 6}
+
+
+def test_bronze_keeps_every_text_as_it_was(spark, landing):
+    lake, payloads = landing
+    odd = ['line\nbreak', '"quoted", with comma', "  padded\t", "", None, "back\\slash", "é\r\n"]
+    path = f"{payloads}/{golden.F0.replace('.csv', '.json')}"
+    with open(path, "w") as out:
+        json.dump([{"icao24": str(i), "callsign": t} for i, t in enumerate(odd)], out)
+    daily.land_day(spark, lake, payloads, golden.DAY)
+    scan = bronze.read_bronze(spark, lake.bronze, golden.DAY).where(f"bronze_file = '{golden.F0}'")
+    found = scan.orderBy("row_order").select("icao24", "callsign")
+    assert golden.rows(found) == [(str(i), t) for i, t in enumerate(odd)]
+
+
+def test_landing_again_replaces_each_window(spark, landing, folder):
+    lake, payloads = landing
+    daily.land_day(spark, lake, payloads, golden.DAY)
+    # A ready CSV of a landed batch is an older delivery.
+    golden.write_csv(f"{lake.bronze}/{golden.F0}", BRONZE_COLUMNS, [["old"] * 12])
+    fewer = write_payloads(f"{folder}/again", [f for f in golden.FLIGHTS if f[0] == golden.F1])
+    landed = daily.land_day(spark, lake, fewer, golden.DAY)
+    arrived = {r["bronze_file"]: r["row_count"] for r in landed.collect()}
+    assert arrived[golden.F0] == 0 and arrived[golden.F1] == 6 and sum(arrived.values()) == 6
+
+
+def test_emptied_batches_leave_no_stale_tables(spark, lake):
+    """All batches become empty: silver does too, and the run stops."""
+    daily.run_day(spark, lake, golden.DAY)
+    for batch in (golden.F0, golden.F1, golden.F2):
+        golden.write_csv(f"{lake.bronze}/{batch}", BRONZE_COLUMNS, [])
+    with pytest.raises(ValueError, match="no flights"):
+        daily.run_day(spark, lake, golden.DAY)
+    assert tables.read_day(spark, lake.silver, SILVER_SCHEMA, golden.DAY).isEmpty()
+    assert tables.read_day(spark, lake.enriched, daily.ENRICHED_SCHEMA, golden.DAY).isEmpty()
+
 
+def test_empty_gold_replaces_the_date_and_no_other(spark, lake):
+    """A reference that matches nothing leaves routes only, on that date only."""
+    eve = golden.F0.replace("27", "26")
+    flight = ["aaa111", golden.T0 - 7200, "VIDP", golden.T0 - 3600, "VABB", "EVE1"]
+    golden.write_csv(f"{lake.bronze}/{eve}", BRONZE_COLUMNS, [flight + [""] * 6])
+    daily.run_day(spark, lake, "2026-09-26")
+    daily.run_day(spark, lake, golden.DAY)
+
+    def eve_files():
+        found = glob.glob(f"{lake.root}/gold/*/flight_date=2026-09-26/*")
+        return {(f, os.stat(f).st_mtime_ns) for f in found}
+
+    before = eve_files()
+    header = ["ident", "name", "iso_country", "icao_code", "iata_code"]
+    golden.write_csv(lake.airports_csv, header, [["Q", "Nowhere", "QQ", "QQQQ", ""]])
+    daily.run_day(spark, lake, golden.DAY)
+    counts = {
+        t.name: history.read_gold_day(spark, lake.gold(t), golden.DAY, t).count() for t in GOLD_TABLES
+    }
+    assert counts == {"airport_traffic": 0, "country_traffic": 0, "route_traffic": 6}
+    assert before and eve_files() == before
+
+
+def test_last_window_of_a_day_is_labelled_with_its_start_date():
     cuts = windows.day_windows(golden.DAY)
     assert len(cuts) == 12
     assert times.window_label_of(*cuts[-1]) == "flights_2026-09-27_22-00_to_00-00.csv"

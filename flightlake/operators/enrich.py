@@ -8,13 +8,19 @@ from pyspark.sql import functions as F
 from flightlake.functions import numeric, text
 from flightlake.operators.silver import keep_first
 from flightlake.schemas import ENRICHED_COLUMNS, LOOKUP_COLUMNS
+from flightlake.session import shuffle_partitions
 from flightlake.sources.bronze import ROW_ORDER
 
-# A lookup up to this many bytes of text is copied to every executor.
+# A lookup up to this many bytes, as a hash table, is copied to every executor.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
-# Beyond it, every airport is spread over this many join partitions.
-SALTS = 32
+# What a row costs in a hash table beside its text: key, pointers, row header and null bits.
+ROW_BYTES = 128
+
+# Beyond it, every airport is spread over a share of the shuffle's partitions, which are copies
+# of the lookup's rows.
+PARTITIONS_PER_SALT = 8
+MOST_SALTS = 1024
 
 DEPARTURE = {
     "airport_iata": "departure_iata",
@@ -51,16 +57,21 @@ def build_lookup(airports: DataFrame) -> DataFrame:
     return airport_lookup(clean_airports(airports))
 
 
-def text_bytes(df: DataFrame) -> int:
-    """Bytes of text in `df`, by one distributed aggregate."""
-    row = F.lit(0)
+def table_bytes(df: DataFrame) -> int:
+    """Estimated bytes of `df` as a hash table: its text and ROW_BYTES a row, by one
+    distributed aggregate."""
+    row = F.lit(ROW_BYTES)
     for column in df.columns:
         row = row + F.coalesce(F.octet_length(column), F.lit(0))
     return df.agg(numeric.count_or_zero(F.sum(row)).alias("bytes")).first()["bytes"]
 
 
 def is_broadcastable(lookup: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
-    return text_bytes(lookup) <= limit
+    return table_bytes(lookup) <= limit
+
+
+def salts_for(partitions: int) -> int:
+    return max(1, min(partitions // PARTITIONS_PER_SALT, MOST_SALTS))
 
 
 def _join_role(flights, lookup, code_column, renames, small, salts) -> DataFrame:
@@ -70,36 +81,52 @@ def _join_role(flights, lookup, code_column, renames, small, salts) -> DataFrame
     )
     if small:
         return flights.join(F.broadcast(role), code_column, "left")
-    # A busy airport, or flights without one, may hold much of the table. The salt comes from
-    # the row itself, so a retried task sends every row where the first try sent it.
-    salted = flights.withColumn("_salt", F.pmod(F.xxhash64(*flights.columns), F.lit(salts)))
+    # A busy airport may hold much of the table. The salt comes from the row itself, so a
+    # retried task sends every row where the first try sent it. Flights without an airport match
+    # nothing and are not shuffled.
+    known = flights.where(F.col(code_column).isNotNull())
+    salted = known.withColumn("_salt", F.pmod(F.xxhash64(*flights.columns), F.lit(salts)))
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
     copies = role.withColumn("_salt", F.explode(every_salt))
-    return salted.join(copies, [code_column, "_salt"], "left").drop("_salt")
+    joined = salted.join(copies, [code_column, "_salt"], "left").drop("_salt")
+    unknown = flights.where(F.col(code_column).isNull()).withColumns(
+        {name: F.lit(None).cast(role.schema[name].dataType) for name in renames.values()}
+    )
+    return joined.unionByName(unknown)
 
 
-def enrich_departure(flights, lookup, small: bool | None = None, salts: int = SALTS) -> DataFrame:
+def _settled(lookup: DataFrame, small: bool | None, salts: int | None) -> tuple[bool, int]:
+    """Both choices, made here where the caller did not; only then a job runs."""
     small = is_broadcastable(lookup) if small is None else small
-    joined = _join_role(flights, lookup, "departure_airport", DEPARTURE, small, salts)
+    return small, salts or salts_for(shuffle_partitions(lookup.sparkSession))
+
+
+def enrich_departure(
+    flights, lookup, small: bool | None = None, salts: int | None = None
+) -> DataFrame:
+    choices = _settled(lookup, small, salts)
+    joined = _join_role(flights, lookup, "departure_airport", DEPARTURE, *choices)
     return joined.select(*flights.columns, *DEPARTURE.values())
 
 
-def enrich_arrival(flights, lookup, small: bool | None = None, salts: int = SALTS) -> DataFrame:
-    small = is_broadcastable(lookup) if small is None else small
-    joined = _join_role(flights, lookup, "arrival_airport", ARRIVAL, small, salts)
+def enrich_arrival(
+    flights, lookup, small: bool | None = None, salts: int | None = None
+) -> DataFrame:
+    choices = _settled(lookup, small, salts)
+    joined = _join_role(flights, lookup, "arrival_airport", ARRIVAL, *choices)
     return joined.select(*flights.columns, *ARRIVAL.values())
 
 
 def enrich_flights(
-    flights: DataFrame, lookup: DataFrame, limit: int = BROADCAST_LIMIT_BYTES, salts: int = SALTS
+    flights: DataFrame, lookup: DataFrame, small: bool | None = None, salts: int | None = None
 ) -> DataFrame:
     """Both ends; every flight stays, unmatched ends stay null.
 
-    The lookup's size is measured first. Small enough, it is broadcast and the flights are
-    not shuffled at all; otherwise both joins are salted.
+    A small lookup (`is_broadcastable`, measured here unless the caller has done so) is
+    broadcast and the flights are not shuffled at all; otherwise both joins are salted.
     """
-    small = is_broadcastable(lookup, limit)
-    both = enrich_arrival(enrich_departure(flights, lookup, small, salts), lookup, small, salts)
+    choices = _settled(lookup, small, salts)
+    both = enrich_arrival(enrich_departure(flights, lookup, *choices), lookup, *choices)
     return both.select(*[c for c in ENRICHED_COLUMNS if c in both.columns])
 
 

@@ -98,28 +98,30 @@ def kpi_airport(enriched: DataFrame) -> DataFrame:
 def kpi_country(enriched: DataFrame) -> DataFrame:
     """Traffic, distinct aircraft and distinct airports per country over all dates.
 
-    Flights are folded to (country, airport, aircraft) first, so the two distinct counts,
-    which copy rows, only see that much smaller set.
+    Flights are folded to (country, airport, aircraft) first. That set is folded again by
+    aircraft and by airport, so each distinct count is a plain count of a group's rows.
     """
     moves = movements(enriched).where(F.col("flight_date").isNotNull())
     activity = aircraft_activity(moves, ["country", "airport"])
     moved = F.when(F.col("icao24").isNotNull(), F.col("n_departures") + F.col("n_arrivals"))
-    return activity.groupBy("country").agg(
-        count_or_zero(F.sum(moved)).alias("total_traffic"),
-        F.count_distinct("icao24").alias("aircraft"),
-        F.count_distinct("airport").alias("airports"),
+    by_aircraft = activity.groupBy("country", "icao24").agg(F.sum(moved).alias("moves"))
+    countries = by_aircraft.groupBy("country").agg(
+        count_or_zero(F.sum("moves")).alias("total_traffic"), F.count("icao24").alias("aircraft")
     )
+    airports = activity.select("country", "airport").distinct()
+    airports = airports.groupBy("country").agg(F.count("airport").alias("airports"))
+    return countries.join(airports, "country")
 
 
 def kpi_route(enriched: DataFrame) -> DataFrame:
-    """Flights, distinct aircraft and observed routes over all dates."""
+    """Flights, distinct aircraft and observed routes over all dates: one fold by route, one by
+    aircraft, each counted as it is."""
     flights = enriched.where(all_known(["flight_date", "departure_airport", "arrival_airport"]))
-    folded = flights.groupBy("route", "icao24").agg(F.count("icao24").alias("n"))
-    return folded.agg(
-        count_or_zero(F.sum("n")).alias("flights"),
-        F.count_distinct("icao24").alias("aircraft"),
-        F.count_distinct("route").alias("routes"),
-    )
+    routes = flights.groupBy("route").agg(F.count("icao24").alias("n"))
+    aircraft = flights.select("icao24").distinct().agg(F.count("icao24"))
+    return routes.agg(
+        count_or_zero(F.sum("n")).alias("flights"), F.count("route").alias("routes")
+    ).select("flights", aircraft.scalar().alias("aircraft"), "routes")
 
 
 def arrivals_vs_departures(gold: DataFrame, dimension: str) -> DataFrame:

@@ -80,11 +80,11 @@ def aircraft_activity(moves: DataFrame, group: Sequence[str]) -> DataFrame:
     )
 
 
-def traffic_by(moves: DataFrame, group: Sequence[str]) -> DataFrame:
+def traffic_of(activity: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Counts per group from activity with one row per group and aircraft."""
     known = F.col("icao24").isNotNull()
     return (
-        aircraft_activity(moves, group)
-        .groupBy(*group)
+        activity.groupBy(*group)
         .agg(
             count_or_zero(F.sum(F.when(known, F.col("n_departures")))).alias("departures"),
             F.count_if(known & (F.col("n_departures") > 0)).alias("departure_aircraft"),
@@ -96,17 +96,32 @@ def traffic_by(moves: DataFrame, group: Sequence[str]) -> DataFrame:
     )
 
 
+AIRPORT_GROUP = ["flight_date", "airport", "country"]
+COUNTRY_GROUP = ["flight_date", "country"]
+
+
+def airport_activity(enriched: DataFrame) -> DataFrame:
+    """Departures and arrivals per date, airport, country and aircraft, which airport and
+    country traffic both count."""
+    return aircraft_activity(movements(enriched), AIRPORT_GROUP)
+
+
 def airport_traffic(enriched: DataFrame) -> DataFrame:
-    moves = movements(enriched)
-    return enforce_schema(
-        traffic_by(moves, ["flight_date", "airport", "country"]), AIRPORT_TRAFFIC_SCHEMA
+    traffic = traffic_of(airport_activity(enriched), AIRPORT_GROUP)
+    return enforce_schema(traffic, AIRPORT_TRAFFIC_SCHEMA)
+
+
+def country_activity(airports: DataFrame) -> DataFrame:
+    """Airport activity folded to countries. An airport outside the lookup has no country, so
+    a known country implies a known airport and no movement is missed."""
+    return airports.groupBy(*COUNTRY_GROUP, "icao24").agg(
+        F.sum("n_departures").alias("n_departures"), F.sum("n_arrivals").alias("n_arrivals")
     )
 
 
 def country_traffic(enriched: DataFrame) -> DataFrame:
-    # An airport outside the lookup has no country, so a known country implies a known airport.
-    moves = movements(enriched)
-    return enforce_schema(traffic_by(moves, ["flight_date", "country"]), COUNTRY_TRAFFIC_SCHEMA)
+    traffic = traffic_of(country_activity(airport_activity(enriched)), COUNTRY_GROUP)
+    return enforce_schema(traffic, COUNTRY_TRAFFIC_SCHEMA)
 
 
 def route_traffic(enriched: DataFrame) -> DataFrame:

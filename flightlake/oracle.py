@@ -311,6 +311,24 @@ _LABEL = (
 )
 _RUN_DATE = "DATE '1995-07-12'"
 
+
+def _replaced(gold: str, metric: str) -> str:
+    """Other dates keep what an earlier run left, which is one more."""
+    return f"""SELECT * REPLACE (CASE WHEN flight_date = {_RUN_DATE} THEN {metric} ELSE {metric} + 1
+                      END AS {metric}) FROM {gold}"""
+
+
+def _upserted(gold: str, metric: str) -> str:
+    """On the run date the batch wins; keys it lacks keep a value 1000 higher, if they were in
+    the target at all."""
+    return f"""SELECT * REPLACE (CASE WHEN flight_date <> {_RUN_DATE} THEN {metric} + 1
+                           WHEN {metric} % 3 <> 0 THEN {metric} ELSE {metric} + 1000
+                      END AS {metric})
+               FROM {gold}
+               WHERE flight_date <> {_RUN_DATE} OR {metric} % 3 <> 0 OR unique_aircraft <= 1"""
+
+
+
 _TOP10 = "ORDER BY {metric} DESC, flight_date, {key} LIMIT 10"
 
 
@@ -352,6 +370,14 @@ FINAL: dict[str, tuple[list[str], str]] = {
         ["bronze"],
         "SELECT icao24, first_seen, last_seen, callsign, bronze_file FROM bronze",
     ),
+    "bronze_union_by_name": (
+        ["bronze"],
+        "SELECT * REPLACE ("
+        + ", ".join(
+            f"CASE WHEN bronze_file = 'a' THEN {c} END AS {c}" for c in _BRONZE if c.endswith("_distance")
+        )
+        + f") FROM (SELECT {', '.join(_BRONZE)}, bronze_file FROM bronze)",
+    ),
     "bronze_batch_counts": (
         ["bronze"],
         "SELECT bronze_file, count(*) AS row_count FROM bronze GROUP BY bronze_file",
@@ -507,16 +533,16 @@ FINAL: dict[str, tuple[list[str], str]] = {
                    (SELECT count(*) FROM route_gold WHERE flight_date = {_RUN_DATE}) AS route_rows
             FROM enriched""",
     ),
-    "gold_replace_airport": (["airport_gold"], "SELECT * FROM airport_gold"),
-    "gold_replace_country": (["country_gold"], "SELECT * FROM country_gold"),
-    "gold_replace_route": (["route_gold"], "SELECT * FROM route_gold"),
+    "gold_replace_airport": (["airport_gold"], _replaced("airport_gold", "total_traffic")),
+    "gold_replace_country": (["country_gold"], _replaced("country_gold", "total_traffic")),
+    "gold_replace_route": (["route_gold"], _replaced("route_gold", "flight_count")),
     "gold_history_sorted": (
         ["airport_gold"],
         "SELECT * FROM airport_gold ORDER BY flight_date, total_traffic DESC, airport",
     ),
-    "upsert_airport": (["airport_gold"], "SELECT * FROM airport_gold"),
-    "upsert_country": (["country_gold"], "SELECT * FROM country_gold"),
-    "upsert_route": (["route_gold"], "SELECT * FROM route_gold"),
+    "upsert_airport": (["airport_gold"], _upserted("airport_gold", "total_traffic")),
+    "upsert_country": (["country_gold"], _upserted("country_gold", "total_traffic")),
+    "upsert_route": (["route_gold"], _upserted("route_gold", "flight_count")),
     "top10_airports": (
         ["airport_gold"],
         "SELECT * FROM airport_gold " + _TOP10.format(metric="total_traffic", key="airport"),

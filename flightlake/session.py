@@ -11,23 +11,53 @@ REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-# Left to the cluster where it already says something; used for sessions built here.
+# Used where neither the submitted configuration nor the session says something else.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.ansi.enabled": "true",
-    "spark.ui.enabled": "false",
 }
 
+# Shuffles start from many partitions, which adaptive execution merges where they are small;
+# it can't split those of aggregates and windows.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITIONS_PER_CORE = 16
+LEAST_PARTITIONS = 200
+
 
 def build_session(app_name: str = "flightlake", master: str | None = None, **conf) -> SparkSession:
+    """A session with the given settings; defaults only fill what is not set elsewhere.
+
+    A session with a master of its own, as tests and benchmarks have, starts without the web
+    page unless asked for.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **REQUIRED, **conf}.items():
+        conf = {"spark.ui.enabled": "false", **conf}
+    for key, value in conf.items():
         builder = builder.config(key, value)
-    return prepare(builder.getOrCreate())
+    spark = builder.getOrCreate()
+    told = settings(spark)
+    for key, value in DEFAULTS.items():
+        if key not in told:
+            spark.conf.set(key, value)
+    if not told & {INITIAL_PARTITIONS, "spark.sql.shuffle.partitions"}:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(INITIAL_PARTITIONS, max(LEAST_PARTITIONS, PARTITIONS_PER_CORE * cores))
+    return prepare(spark)
+
+
+def settings(spark: SparkSession) -> set[str]:
+    """Names of the settings that were made, on submission or in the session."""
+    return {row["key"] for row in spark.sql("SET").collect()}
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """How many partitions a shuffle starts from."""
+    plain = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(spark.conf.get(INITIAL_PARTITIONS, None) or plain)
 
 
 def prepare(spark: SparkSession) -> SparkSession:

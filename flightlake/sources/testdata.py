@@ -18,11 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def leaves_cores_idle(scan: DataFrame) -> bool:
-    """Whether a scan has fewer splits than there are cores, as a small file has."""
-    return scan.rdd.getNumPartitions() < scan.sparkSession.sparkContext.defaultParallelism
-
-
 def _text(c: Column) -> Column:
     return c.cast("string")
 
@@ -54,11 +49,6 @@ def bronze_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         supplier_nation, F.col("l_suppkey") == F.col("s_suppkey")
     )
-    if leaves_cores_idle(lines):
-        # Small tables are joined by broadcast within the tasks of the scan; spread the result
-        # once so that cleaning uses every core. Never happens to a table of many splits.
-        cores = spark.sparkContext.defaultParallelism
-        joined = joined.repartition(cores, "l_orderkey", "l_linenumber")
     line, quantity = F.col("l_linenumber"), F.col("l_quantity").cast("int")
     heavy = F.col("l_quantity") > 45
     twice = F.array(F.lit("a"), F.lit("b"))

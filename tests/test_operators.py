@@ -281,7 +281,7 @@ def test_salted_join_equals_broadcast_join(spark):
         "airport_code string, airport_iata string, airport_name string, country_code string",
     )
     small = enrich.enrich_flights(flights, lookup)
-    large = enrich.enrich_flights(flights, lookup, limit=0, salts=4)
+    large = enrich.enrich_flights(flights, lookup, small=False, salts=4)
     assert small.columns == large.columns
     assert small.count() == large.count() == flights.count()
     assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
@@ -292,7 +292,7 @@ def test_salted_join_equals_broadcast_join(spark):
             df._jdf.queryExecution().executedPlan().toString()
             for df in (
                 enrich.enrich_flights(flights, lookup),
-                enrich.enrich_flights(flights, lookup, limit=0, salts=4),
+                enrich.enrich_flights(flights, lookup, small=False, salts=4),
             )
         ]
     finally:
@@ -303,6 +303,28 @@ def test_salted_join_equals_broadcast_join(spark):
 
 def test_lookup_size(spark):
     lookup = spark.createDataFrame([("ab", "é", None)], "a string, b string, c string")
-    assert enrich.text_bytes(lookup) == 4
-    assert enrich.text_bytes(lookup.limit(0)) == 0
-    assert enrich.is_broadcastable(lookup, 4) and not enrich.is_broadcastable(lookup, 3)
+    size = 4 + enrich.ROW_BYTES
+    assert enrich.table_bytes(lookup) == size
+    assert enrich.table_bytes(lookup.limit(0)) == 0
+    assert enrich.is_broadcastable(lookup, size) and not enrich.is_broadcastable(lookup, size - 1)
+
+
+def test_millions_of_short_rows_are_not_broadcast(spark):
+    many = spark.range(2_000_000).selectExpr("cast(id as string) as airport_code", "'x' as country_code")
+    assert not enrich.is_broadcastable(many)
+
+
+def test_flights_without_an_airport_skip_the_salted_join(spark):
+    flights = spark.createDataFrame([("A", None), (None, None), ("B", None)], "departure_airport string, n int")
+    lookup = spark.createDataFrame(
+        [("A", "i", "n", "c")], "airport_code string, airport_iata string, airport_name string, country_code string"
+    )
+    joined = enrich.enrich_departure(flights, lookup, small=False)
+    found = {tuple(r) for r in joined.select("departure_airport", "departure_iata").collect()}
+    assert found == {("A", "i"), (None, None), ("B", None)}
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan
+
+
+def test_salts_follow_the_partitions():
+    assert [enrich.salts_for(n) for n in (4, 200, 4096, 10**6)] == [1, 25, 512, 1024]

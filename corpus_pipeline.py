@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.llm import decontam, langid, mixing, simhash, substring
-from flightlake.llm.common import remainder, shared_folder, table
+from flightlake.llm.common import free_name, remainder, shared_folder, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,12 +23,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut words of windows that start earlier elsewhere; documents left without words go."""
-    cut = substring.dedup(docs)
-    kept = cut.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    words, removed = (free_name(docs, f"cut_{n}") for n in ("words", "removed"))
+    cut = substring.dedup(docs, counts=(words, removed))
+    kept = cut.filter((F.col(removed) == 0) | (F.col(removed) < F.col(words)))
     columns = {c: F.col(f"`{c}`") for c in docs.columns}
     if "n_chars" in columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        columns["n_chars"] = F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars"))
+        columns["n_chars"] = F.when(F.col(removed) > 0, length).otherwise(F.col("n_chars"))
     return kept.select(*[column.alias(c) for c, column in columns.items()])
 
 

@@ -27,8 +27,8 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.filter(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
+        larger = both.filter(F.col("b") > F.col("a")).join(least, "a")
+        large = larger.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(
             F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
@@ -51,7 +51,8 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(
         edges.agg(
             F.count(F.lit(1)),
-            F.sum(F.pmod(mark, F.lit(1 << 31))),
-            F.sum(F.shiftrightunsigned(mark, 33)),
+            # Small parts of a hash, whose sums stay within a long for 10^12 edges.
+            F.sum(F.pmod(mark, F.lit(1 << 22))),
+            F.sum(F.shiftrightunsigned(mark, 42)),
         ).first()
     )

@@ -200,8 +200,8 @@ def identify(
 ) -> DataFrame:
     """The documents with the predicted language, its score, and whether it is rejected.
 
-    lang_pred is the language of the nearest centroid and score the cosine to it; `und`, score 0
-    and rejected where the text is null or has no letter, or nothing was learned. A text is
+    lang_pred is the language of the nearest centroid and score the cosine to it; `und` and score
+    0 where the text is null or has no letter, which is rejected, or nothing was learned. A text is
     rejected when its score lies below the floor for its length (SLACK times the lowest similarity
     of the sample's texts of about that length; none below LEAST_GRAMS n-grams). Of equal scores the first language by name wins.
     Whole texts count, whatever their length. Input columns named like an output column are
@@ -232,14 +232,16 @@ def identify(
 def judge(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per text: the place of its language in the model (its end: none), score, rejected."""
     counts = gram_counts(texts)
-    known = np.array([t is not None and any(map(str.isalpha, t)) for t in texts.to_pylist()], bool)
-    known &= len(model.languages) > 0
+    lettered = [t is not None and any(map(str.isalpha, t)) for t in texts.to_pylist()]
+    lettered = np.array(lettered, bool)
+    known = lettered & (len(model.languages) > 0)
     best, score = np.full(len(counts), len(model.languages)), np.zeros(len(counts))
     if known.any():
         near = weighted(counts, model.idf) @ model.centroids.T
         best = np.where(known, near.argmax(axis=1), best)
         score = np.where(known, near.max(axis=1).clip(0, 1), 0.0).astype(np.float64)
-    return best, score, ~known | (score < model.floors[_length_class(counts)])
+    far = known & (score < model.floors[_length_class(counts)])
+    return best, score, ~lettered | far
 
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -277,6 +277,8 @@ def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     rows meet is cut into pieces, and each pair of pieces compared as a cell of its own.
     """
     n = nodes.count()
+    if n < 2:
+        return nodes.sparkSession.createDataFrame([], "a long, b long")
     sample = nodes.orderBy(F.xxhash64("value"), "value").limit(PLAN_SAMPLE).collect()
     sample_bits = _bits_of(np.array([r["value"] for r in sample], np.int64))
     parts = plan(sample_bits, _correlation(nodes, "value"), n, distance)

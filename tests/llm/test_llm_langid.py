@@ -60,7 +60,7 @@ def test_nothing_learned_empty_tables_repeats_and_clashes(spark):
     model = langid.fit(docs, F.lit(True))
     assert model.languages == []
     got = langid.identify(docs, model).collect()
-    assert [(r.lang_pred, r.score, r.rejected) for r in got] == [("und", 0.0, True)] * 2
+    assert [(r.lang_pred, r.score, r.rejected) for r in got] == [("und", 0.0, False)] * 2
     assert langid.identify(docs.limit(0), model).collect() == []
     labelled = plain.documents(spark, ["un deux trois", "one two three"], lang=["fr", "en"])
     model = langid.fit(labelled, F.lit(True))

@@ -3,6 +3,7 @@
 import compare
 import pytest
 import rows as plain
+from pyspark.sql import functions as F
 from test_llm_decontam import normal
 from test_llm_mixing import slow_mix
 from test_llm_simhash import slow_components, slow_fingerprint
@@ -106,6 +107,23 @@ def test_run_applies_all_stages(spark, stages):
     assert got == sorted(map(tuple, stages["mixture"][1]))
 
 
+NAMES = ["size", "block", "kept_hash", "score", "n_words", "n_removed", "rejected", "row", "value"]
+
+
+@pytest.mark.parametrize("texts", [[], ["a b", None, "", " \n", "a b", "é " * 30_000, "one two three four five"]])
+def test_odd_documents_pass_every_stage(spark, texts):
+    """Nulls in any column, empty and long texts, repeated rows, no rows, clashing columns."""
+    ids = [None if i == 1 else i % 5 for i in range(len(texts))]
+    docs = plain.documents(spark, texts, ids=ids, lang=[None] * len(texts))
+    docs = docs.withColumns({n: F.lit("own") for n in NAMES})
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, spark.createDataFrame(stage(spark, docs, SF).collect(), stage(spark, docs, SF).schema)
+        if name != "mixture":
+            assert docs.columns == before.columns
+            assert all(r[n] == "own" for r in docs.collect() for n in NAMES)
+    assert docs.count() <= len(texts)
+
+
 def test_one_query_for_each_operator():
     names = [n.split("_")[0] for n in queries.QUERIES]
     assert names == [f"op{i}" for i in range(1, 11)]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from inspect import signature
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +56,43 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python a thousand at a time, unless the session says otherwise; Spark's own
+    number is made for rows of a few numbers."""
+    if spark.conf.get(_BATCH) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH, 1000)
+
+
+_BATCH, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def give_back() -> None:
+    """Hand freed memory to the system: workers are kept, and what they hold adds to what the
+    executor needs later."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+def frugal(work: Callable) -> Callable:
+    """A step over a group that gives its memory back at the end."""
+
+    # Spark counts a step's arguments: one group, or two side by side.
+    def alone(group):
+        result = work(group)
+        give_back()
+        return result
+
+    def beside(left, right):
+        result = work(left, right)
+        give_back()
+        return result
+
+    return alone if len(signature(work).parameters) == 1 else beside
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -99,6 +138,7 @@ def pieces(
         end = min(max(end, row + 1), batch.num_rows, row + (rows or batch.num_rows))
         yield batch.slice(row, end - row)
         row = end
+    give_back()
 
 
 class Words:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightlake.llm.common import Words, mixed, pieces, text_bytes
+from flightlake.llm.common import Words, mixed, pieces, small_batches, text_bytes
 
 # BM25.
 K1, B = 1.2, 0.75
@@ -343,6 +343,7 @@ def find(docs: DataFrame, indexes: list[Index], text: str = "text", doc_id: str
     Null and empty texts hold nothing. Repeated document rows give repeated results. An empty
     table of documents or of items gives no rows. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     found = docs.sparkSession.createDataFrame([], FOUND)
     for index in indexes:
@@ -368,6 +369,7 @@ def find(docs: DataFrame, indexes: list[Index], text: str = "text", doc_id: str
 
 def keep_clean(docs: DataFrame, indexes: list[Index], text: str = "text") -> DataFrame:
     """The documents that hold no item, with their own columns."""
+    small_batches(docs.sparkSession)
     for index in indexes:
 
         def clean(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:

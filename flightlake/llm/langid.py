@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightlake.llm.common import free_name, pieces, text_bytes
+from flightlake.llm.common import free_name, pieces, small_batches, text_bytes
 
 # Length of a feature in bytes, and the number of buckets features are hashed into.
 GRAM = 3
@@ -146,6 +146,7 @@ def fit(
     every run. Their n-gram counts come to the driver: at most `sample` times the number of
     languages, of BUCKETS numbers each.
     """
+    small_batches(docs.sparkSession)
     usable = docs.filter(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(doc_id).alias("at")
     )
@@ -207,6 +208,7 @@ def identify(
     Whole texts count, whatever their length. Input columns named like an output column are
     replaced; an empty table gives no rows; repeated rows are judged alike.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop(*[c for c in docs.columns if c.lower() in out])
     kept = [f for f in docs.schema.fields if keep_text or f.name != text]
     kinds = (T.StringType(), T.DoubleType(), T.BooleanType())

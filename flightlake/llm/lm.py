@@ -14,11 +14,13 @@ from flightlake.llm.common import (
     Words,
     blocks_for,
     by_range,
+    frugal,
     lowered,
     mixed,
     pack_small,
     pack_sorted,
     power_of_two,
+    small_batches,
     text_bytes,
     text_or_empty,
     unpack_small,
@@ -294,6 +296,7 @@ def score(
     Without anything to learn from, N and V are 0 and every token has probability 1. An empty
     table gives no rows. Input columns named like an output column are replaced.
     """
+    small_batches(docs.sparkSession)
     added = [name for name, _ in _ADDED_COLUMNS]
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
     inner = {c: f"own_{i}" for i, c in enumerate(keep)}
@@ -308,9 +311,9 @@ def score(
     )
     answers = (
         dealt.groupBy("block")
-        .applyInArrow(_request(order, shards), _REQUEST)
+        .applyInArrow(frugal(_request(order, shards)), _REQUEST)
         .groupBy("shard")
-        .applyInArrow(_answer, _ANSWER)
+        .applyInArrow(frugal(_answer), _ANSWER)
     )
     fields = [T.StructField(n, docs.schema[c].dataType) for c, n in inner.items()]
     schema = T.StructType([*fields, *[T.StructField(n, k) for n, k in _ADDED_COLUMNS]])
@@ -318,6 +321,6 @@ def score(
     scored = (
         dealt.groupBy("block")
         .cogroup(answers.groupBy("block"))
-        .applyInArrow(_scorer(order, prior, list(inner.values()), empty), schema)
+        .applyInArrow(frugal(_scorer(order, prior, list(inner.values()), empty)), schema)
     )
     return scored.select(*[F.col(n).alias(c) for c, n in inner.items()], *added)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightlake.llm.common import free_name, pieces, stored
+from flightlake.llm.common import free_name, pieces, small_batches, stored
 from flightlake.llm.components import components
 
 SHINGLE = 4
@@ -58,6 +58,7 @@ def fingerprints(
     docs: DataFrame, text: str, out: str, shingle: int = SHINGLE, keep: list[str] | None = None
 ) -> DataFrame:
     """The columns `keep` (by default all) and the fingerprint as a long."""
+    small_batches(docs.sparkSession)
     kept = [f for f in docs.schema.fields if keep is None or f.name in keep]
     schema = T.StructType([*kept, T.StructField(out, T.LongType())])
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flightlake.llm.common import WORD, free_name, text_or_empty
+from flightlake.llm.common import WORD, free_name, stored, text_or_empty
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -15,6 +15,8 @@ MOST_EPOCHS = 2
 # How much likelier a document labelled good or bad is drawn than one without a label.
 QUALITY = {1: 2.0, 0: 0.5}
 BUCKETS = 4096
+# So many sources (a name and some numbers each) are sent to every executor; more are shuffled.
+MOST_BROADCAST = 100_000
 
 
 def quality_weights(labels: DataFrame) -> DataFrame:
@@ -132,7 +134,7 @@ def mix(
         .groupBy("no_source", "source")
         .agg(F.max("at").alias("last"))
     )
-    sources = (
+    sources = stored(
         targets.join(reached, ["no_source", "source"], "left")
         .join(last, ["no_source", "source"], "left")
         .select(
@@ -145,8 +147,9 @@ def mix(
             "target",
         )
     )
+    few = sources.count() <= MOST_BROADCAST
     joined = sized.join(
-        sources,
+        F.broadcast(sources) if few else sources,
         (sized[name["nosrc"]] == sources["plan_no_source"])
         & (sized[name["src"]] == sources["plan_source"]),
     )

@@ -63,8 +63,9 @@ def mixed_rows(spark, rows, quality=None, **sizes):
     return sorted((str(r.doc_id), r.size, r.source_size, round(r.target, 6), r.taken) for r in got)
 
 
-@pytest.mark.parametrize("buckets", [1, 7, 4096])
-def test_matches_brute_force(spark, buckets):
+@pytest.mark.parametrize(("buckets", "most"), [(1, 100), (7, 0), (4096, 100)])
+def test_matches_brute_force(spark, monkeypatch, buckets, most):
+    monkeypatch.setattr(mixing, "MOST_BROADCAST", most)
     rows = [(i, "w " * (i * 37 % 90), f"s{i * i % 11}") for i in range(150)]
     rows += [(200 + i, "v " * 50, "hot") for i in range(200)]
     rows += [(500, None, None), (501, " \t\n", None), (502, "x y z", None), (None, "a b", "s0")]

@@ -7,11 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightlake.llm.common import Words, lowered, pieces, stored, text_bytes
+from flightlake.llm.common import Words, lowered, pieces, small_batches, stored, text_bytes
 
 # Labelled documents of each class the model is fitted on, at most.
 SAMPLE = 4000
@@ -160,8 +160,9 @@ def _sampled(docs: DataFrame, labels: DataFrame, text, doc_id, toxic, sample) ->
         min(1.0, 2 * sample / max(1, sizes.get(False, 0)))
     )
     few = known.filter(F.col("at").cast("double") / float(1 << 64) + 0.5 <= rate)
-    order = Window.partitionBy("bad").orderBy("at", "label_doc")
-    chosen = few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample)
+    chosen = few.filter("bad").orderBy("at", "label_doc").limit(sample).unionByName(
+        few.filter(~F.col("bad")).orderBy("at", "label_doc").limit(sample)
+    )
     rows = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).join(
         F.broadcast(chosen.select("label_doc", "bad")), F.col("doc") == F.col("label_doc")
     )
@@ -183,6 +184,7 @@ def fit(
     counts, of several texts the first. Spark counts the sample's features by class and chooses
     those that carry weight; the driver sees at most 2 * sample rows of MOST_WEIGHTS values.
     """
+    small_batches(docs.sparkSession)
     few = stored(_sampled(docs, labels, text, doc_id, toxic, sample))
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,6 +261,7 @@ def grade(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = T
     Input columns named like an output column are replaced; repeated rows are graded alike; an
     empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop(*[c for c in docs.columns if c.lower() in OUT])
     kept = [f for f in docs.schema.fields if keep_text or f.name != text]
     kinds = (T.DoubleType(), T.IntegerType(), T.BooleanType())

@@ -22,12 +22,18 @@ _BITS = BUCKETS.bit_length() - 1
 SAMPLE = 400
 CENTROIDS = 4
 ROUNDS = 10
-# A text is rejected below this share of the lowest similarity seen at its length. Too few
-# n-grams say nothing about the distance: such texts are kept.
-SLACK = 0.35
-LEAST_GRAMS = 64
+# A text is rejected below this share of a low quantile of the similarities seen at its length,
+# of so many texts at least. A word or two say nothing about the distance: such texts are kept.
+SLACK, QUANTILE = 0.6, 0.01
+LEAST_TEXTS = 30
+LEAST_GRAMS = 8
+# Similarities are counted in so many steps.
+STEPS = 1000
 UNKNOWN = "und"
 
+# Length classes: powers of two of the number of n-grams.
+CLASSES = 64
+
 _ROWS, _PIECE = 256, 1 << 20
 _LETTER = np.zeros(256, bool)
 _LETTER[ord("a") : ord("z") + 1] = True
@@ -119,16 +125,35 @@ def fit_arrays(counts: np.ndarray, languages: np.ndarray, centroids: int = CENTR
         rows.append(mine)
         names += [language] * len(mine)
     centres = np.concatenate(rows).astype(np.float32) if rows else np.zeros((0, BUCKETS), np.float32)
-    classes = _length_class(counts)
-    lowest = np.full(64, np.inf)
-    if len(counts) and len(centres):
-        np.minimum.at(lowest, classes, (vectors @ centres.T).max(axis=1))
-    # A class counts with its neighbours; one without any sample rejects nothing.
-    padded = np.pad(lowest, 1, constant_values=np.inf)
-    floors = np.minimum(np.minimum(padded[:-2], padded[2:]), lowest) * SLACK
-    floors[~np.isfinite(lowest)] = 0.0
-    floors[: LEAST_GRAMS.bit_length() - 1] = 0.0
-    return Model(idf, centres, names, floors)
+    return Model(idf, centres, names, np.zeros(CLASSES))
+
+
+def similarity_cells(texts: pa.Array, model: Model) -> np.ndarray:
+    """Each text's length class and step of similarity, as one number."""
+    counts = gram_counts(texts)
+    near = (weighted(counts, model.idf) @ model.centroids.T).max(axis=1).clip(0, 1)
+    return _length_class(counts) * (STEPS + 1) + (near * STEPS).astype(np.int64)
+
+
+def floors(seen: np.ndarray) -> np.ndarray:
+    """The rejection floor by length class, from counts of texts by class and similarity step.
+
+    A class counts with as many neighbours on both sides as make LEAST_TEXTS texts, so one
+    longer than any seen has the floor of the longest. Below the shortest seen, floors fall like
+    similarities do, with the square root of the length.
+    """
+    out = np.zeros(CLASSES)
+    filled = np.flatnonzero(seen.sum(axis=1))
+    if len(filled) == 0:
+        return out
+    for c in range(LEAST_GRAMS.bit_length() - 1, CLASSES):
+        for reach in range(CLASSES):
+            near = seen[max(0, c - reach) : c + reach + 1].sum(axis=0)
+            if near.sum() >= min(LEAST_TEXTS, seen.sum()):
+                break
+        step = int(np.searchsorted(np.cumsum(near), QUANTILE * near.sum()))
+        out[c] = SLACK * step / STEPS * 2.0 ** (min(0, c - int(filled[0])) / 2)
+    return out
 
 
 def fit(
@@ -144,7 +169,8 @@ def fit(
 
     The sample is the documents with the smallest hashes of their ids, so it is the same on
     every run. Their n-gram counts come to the driver: at most `sample` times the number of
-    languages, of BUCKETS numbers each.
+    languages, of BUCKETS numbers each. The floors are those of the similarities of all documents
+    where `learn` holds, which Spark counts by length and similarity.
     """
     small_batches(docs.sparkSession)
     usable = docs.filter(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
@@ -186,7 +212,20 @@ def fit(
     counts = np.zeros((len(rows), BUCKETS), np.float32)
     for i, r in enumerate(rows):
         counts[i, np.frombuffer(r["cells"], np.int16)] = np.frombuffer(r["counts"], np.float32)
-    return fit_arrays(counts, np.array([r["lang"] for r in rows], object), centroids)
+    model = fit_arrays(counts, np.array([r["lang"] for r in rows], object), centroids)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text", _PIECE, _ROWS):
+                cells, n = np.unique(similarity_cells(part.column("text"), model), return_counts=True)
+                yield pa.RecordBatch.from_pydict({"cell": pa.array(cells), "n": pa.array(n)})
+
+    counted = usable.select("text").mapInArrow(compare, "cell long, n long").groupBy("cell")
+    seen = np.zeros((CLASSES, STEPS + 1), np.int64)
+    for r in counted.agg(F.sum("n").alias("n")).collect():
+        seen[divmod(r["cell"], STEPS + 1)] = r["n"]
+    model.floors = floors(seen)
+    return model
 
 
 OUT = ("lang_pred", "score", "rejected")
@@ -203,8 +242,9 @@ def identify(
 
     lang_pred is the language of the nearest centroid and score the cosine to it; `und` and score
     0 where the text is null or has no letter, which is rejected, or nothing was learned. A text is
-    rejected when its score lies below the floor for its length (SLACK times the lowest similarity
-    of the sample's texts of about that length; none below LEAST_GRAMS n-grams). Of equal scores the first language by name wins.
+    rejected when its score lies below the floor for its length (SLACK times the similarity that
+    all but QUANTILE of the learning texts of about that length reach; none below LEAST_GRAMS
+    n-grams). Of equal scores the first language by name wins.
     Whole texts count, whatever their length. Input columns named like an output column are
     replaced; an empty table gives no rows; repeated rows are judged alike.
     """

@@ -1,3 +1,5 @@
+import base64
+
 import numpy as np
 import pyarrow as pa
 import rows as plain
@@ -75,3 +77,37 @@ def test_sample_is_bounded_and_the_same_each_time(spark):
     one, two = (langid.fit(d, F.lit(True), sample=20) for d in (docs, docs.repartition(7)))
     assert np.array_equal(one.centroids, two.centroids)
     assert len(one.centroids) == langid.CENTROIDS * 4
+
+
+ITALIAN = (
+    "La mattina presto il vecchio pescatore usciva dal porto con la sua piccola barca per cercare "
+    "i pesci migliori della costa lontana e tranquilla. "
+)
+POLISH = (
+    "Wczesnym rankiem stary rybak wyruszył z portu swoją małą łodzią, aby znaleźć najlepsze ryby "
+    "na dalekim i spokojnym wybrzeżu naszego kraju. "
+)
+
+
+def test_rejects_gibberish_and_other_languages_at_any_length(spark):
+    rng = np.random.default_rng(5)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs, F.lit(True))
+
+    def letters(n):
+        return "".join(chr(97 + i) for i in rng.integers(0, 26, n))
+
+    odd = [" ".join(letters(6) for _ in range(n)) for n in (5, 15, 50, 2000, 20_000)]
+    odd += [base64.b64encode(rng.bytes(n)).decode() for n in (100, 15_000, 150_000)]
+    odd += [t * n for t in (ITALIAN, POLISH) for n in (1, 4, 30)]
+    got = langid.identify(plain.documents(spark, odd), model, keep_text=False).orderBy("doc_id").collect()
+    assert [r.doc_id for r in got if not r.rejected] == []
+
+
+def test_one_outlier_sets_no_floor_and_empty_classes_have_one():
+    seen = np.zeros((langid.CLASSES, langid.STEPS + 1), int)
+    seen[10, 500], seen[10, 1] = 1000, 1
+    floors = langid.floors(seen)
+    assert floors[10] == floors[11] == floors[40] == 0.5 * langid.SLACK
+    assert floors[8] == floors[10] / 2 and floors[0] == 0
+    assert not langid.floors(np.zeros_like(seen)).any()

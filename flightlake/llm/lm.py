@@ -27,7 +27,7 @@ from flightlake.llm.common import (
     unpack_sorted,
 )
 
-ORDER = 2
+ORDER = 3
 # How many observations the shorter history's estimate is worth.
 PRIOR = 128.0
 # Added to every count of a single token.
@@ -92,16 +92,22 @@ def read_grams(texts: pa.Array, order: int) -> Grams:
     return Grams(keys, kinds, first, at, bounds if n else np.zeros(1, np.int64))
 
 
+def own_counts(docs: pa.Table, grams: Grams) -> np.ndarray:
+    """How often each n-gram stands in the block's own training texts."""
+    learn = np.asarray(docs.column("learn").to_numpy(zero_copy_only=False), bool)
+    known = np.repeat(learn, np.diff(grams.bounds))
+    counts = np.zeros(len(grams.keys), np.int64)
+    for line in grams.at:
+        ids = line[known & (line >= 0)]
+        counts += np.bincount(ids, minlength=len(counts))
+    return counts
+
+
 def _request(order: int, shards: int):
     def request(docs: pa.Table) -> pa.Table:
         docs = docs.combine_chunks()
         grams = read_grams(docs.column("text").combine_chunks(), order)
-        learn = np.asarray(docs.column("learn").to_numpy(zero_copy_only=False), bool)
-        known = np.repeat(learn, np.diff(grams.bounds))
-        counts = np.zeros(len(grams.keys), np.int64)
-        for line in grams.at:
-            ids = line[known & (line >= 0)]
-            counts += np.bincount(ids, minlength=len(counts))
+        counts = own_counts(docs, grams)
         cuts = by_range(grams.keys, shards)
         parts = list(zip(cuts[:-1], cuts[1:], strict=True))
         return pa.table(
@@ -118,7 +124,8 @@ def _request(order: int, shards: int):
 
 
 def _answer(requests: pa.Table) -> pa.Table:
-    """Counts over all blocks, for each block in the order of its request."""
+    """Counts over all blocks, for each block in the order of its request; 0 for n-grams no other
+    block asked for, the count of which the block knows."""
     asked = [unpack_sorted(x.as_py()) for x in requests.column("grams")]
     counts = np.concatenate([unpack_small(x.as_py()) for x in requests.column("counts")])
     orders = np.concatenate([unpack_small(x.as_py()) for x in requests.column("orders")])
@@ -126,9 +133,10 @@ def _answer(requests: pa.Table) -> pa.Table:
     total = np.bincount(inverse, counts, len(keys)).astype(np.int64)
     kind = np.zeros(len(keys), np.int64)
     kind[inverse] = orders
+    shared = np.where(np.bincount(inverse, minlength=len(keys)) > 1, total, 0)
     token = (kind == 1) & (keys != _START) & (total > 0)
     cuts = np.cumsum([0, *map(len, asked)])
-    own = [total[inverse[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    own = [shared[inverse[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     n = len(asked)
     return pa.table(
         {
@@ -252,6 +260,7 @@ def _scorer(order: int, prior: float, kept: list[str], schema: pa.Schema):
         ranked = np.argsort(np.asarray(answers.column("shard")))
         packed = answers.column("counts").to_pylist()
         counts = np.concatenate([unpack_small(packed[i]) for i in ranked])
+        counts = np.maximum(counts, own_counts(docs, grams))
         n, kinds = (int(np.asarray(answers.column(c)).sum()) for c in ("tokens", "kinds"))
         automaton = build(grams, counts, n, kinds, prior)
         total = traverse(automaton, grams, counts)
@@ -287,8 +296,8 @@ def score(
 
     Learns from the rows where `learn` holds and scores all rows, whole. Documents are dealt
     into blocks by a hash. A block counts its own n-grams and asks for their counts everywhere;
-    the requests meet by ranges of n-gram fingerprints (64 bits), are added up and answered;
-    then the block builds the automaton of its n-grams and reads its texts through it. So no
+    the requests meet by ranges of n-gram fingerprints (64 bits), are added up and answered
+    where several blocks ask; then the block builds the automaton of its n-grams and reads its texts through it. So no
     task holds more than a block or a range of n-grams, and a frequent n-gram is one entry per
     block. Nothing is cut off.
 

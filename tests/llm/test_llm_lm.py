@@ -90,3 +90,13 @@ def test_empty_table_and_clashing_columns(spark):
     got = lm.score(docs, F.lit(True)).collect()
     assert [r.block for r in got] == ["own", "own"] and got[0].score == got[1].score
     assert got[0].train_tokens == 4
+
+
+def test_the_query_scores_with_two_words_of_history(spark):
+    texts = ["a b c", "x b d", "a b d", "a b c"]
+    docs = plain.documents(spark, texts).withColumn("learn", F.col("doc_id") < 2)
+    got = lm.score(docs, F.col("learn"), keep=["doc_id"], block_bytes=100, shard_bytes=100).orderBy("doc_id").collect()
+    expected = list(brute(texts, [True, True, False, False], 3, lm.PRIOR))
+    assert [r.score for r in got] == pytest.approx([e[4] for e in expected], abs=1e-8)
+    # The last word differs by the word before the last two only.
+    assert got[3].score > got[2].score

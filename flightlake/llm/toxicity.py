@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,11 +15,13 @@ from flightlake.llm.common import Words, lowered, pieces, small_batches, stored,
 
 # Labelled documents of each class the model is fitted on, at most.
 SAMPLE = 4000
-# Features are words and their first bytes of these lengths; so many of them carry a weight.
+# Features are words and their first bytes of these lengths.
 PREFIXES = (4, 5, 6, 7, 8)
-MOST_WEIGHTS = 256
-# A feature is one that toxic documents hold this much more often: standard errors, share.
-LEAST_Z, LEAST_SHARE = 6.0, 0.01
+# Features that speak for toxic documents are all taken, as long as about this share of them
+# at most would do so by chance.
+FALSE_SHARE = 0.05
+# The evidence of a feature is the negative log of a bound on its chance; counted in such steps.
+_STEP = 0.1
 # A feature's value is the log of one plus so many times its share of the words.
 SHARE_SCALE = 200.0
 # Grades: 0 is clean; toxic documents are graded by how dense the evidence is in them.
@@ -77,6 +79,37 @@ def chosen_counts(
     return cells // width, cells % width, counts, words
 
 
+@dataclass
+class Sparse:
+    """A matrix by its cells that are not zero."""
+
+    rows: np.ndarray
+    columns: np.ndarray
+    values: np.ndarray
+    shape: tuple[int, int]
+
+    def __len__(self) -> int:
+        return self.shape[0]
+
+    def __matmul__(self, vector: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, self.values * vector[self.columns], self.shape[0])
+
+    @property
+    def T(self) -> Sparse:
+        return Sparse(self.columns, self.rows, self.values, self.shape[::-1])
+
+    def std(self) -> np.ndarray:
+        """The standard deviation of each column."""
+        mean, square = (
+            np.bincount(self.columns, self.values**k, self.shape[1]) / max(1, len(self)) for k in (1, 2)
+        )
+        return np.sqrt(np.maximum(square - mean**2, 0))
+
+    def over(self, scale: np.ndarray) -> Sparse:
+        """The columns divided by numbers."""
+        return Sparse(self.rows, self.columns, self.values / scale[self.columns], self.shape)
+
+
 def values_of(counts: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.log1p(SHARE_SCALE * counts / np.maximum(words, 1))
 
@@ -90,7 +123,7 @@ def above(score: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
     return _sigmoid(score[:, None] - thresholds[None, :])
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(x: np.ndarray | Sparse, grade: np.ndarray, grades: int) -> tuple[np.ndarray, np.ndarray]:
     """Weights and increasing thresholds of least ridged negative log-likelihood.
 
     Thresholds are the first one and the logs of the gaps, so that they stay in order. Adam
@@ -128,7 +161,7 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int) -> tuple[np.ndarr
 
 
 def fit_arrays(
-    features: np.ndarray, x: np.ndarray, toxic: np.ndarray, grades: int = GRADES
+    features: np.ndarray, x: Sparse, toxic: np.ndarray, grades: int = GRADES
 ) -> Model:
     """Fit on documents by their feature values (a row each) and whether they are toxic.
 
@@ -140,10 +173,10 @@ def fit_arrays(
         # Nothing to tell apart: thresholds that no text without evidence passes.
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.arange(1.0, grades) * 30)
     grade = np.zeros(len(x), np.int64)
-    order = np.flatnonzero(toxic)[np.argsort(x.sum(axis=1)[toxic], kind="stable")]
+    order = np.flatnonzero(toxic)[np.argsort((x @ np.ones(len(features)))[toxic], kind="stable")]
     grade[order] = 1 + np.arange(n1) * (grades - 1) // n1
-    scale = np.maximum(x.std(axis=0), 1e-9)
-    weights, thresholds = fit_ordinal(x / scale, grade, grades)
+    scale = np.maximum(x.std(), 1e-9)
+    weights, thresholds = fit_ordinal(x.over(scale), grade, grades)
     return Model(features, weights / scale, thresholds)
 
 
@@ -170,6 +203,18 @@ def _sampled(docs: DataFrame, labels: DataFrame, text, doc_id, toxic, sample) ->
     return rows.groupBy("doc").agg(F.max("bad").alias("bad"), F.min("text").alias("text"))
 
 
+def least_evidence(steps: dict[int, int]) -> int:
+    """The lowest step of evidence from which chance makes FALSE_SHARE of the features at most
+    (the rule of Benjamini and Hochberg); past all steps if none is."""
+    total, above_it = sum(steps.values()), 0
+    least = max(steps, default=0) + 1
+    for step in sorted(steps, reverse=True):
+        above_it += steps[step]
+        if step > 0 and total * np.exp(-step * _STEP) <= FALSE_SHARE * above_it:
+            least = step
+    return least
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -182,7 +227,8 @@ def fit(
 
     The sample has the smallest hashes of ids. Of several labels of a document the worst
     counts, of several texts the first. Spark counts the sample's features by class and chooses
-    those that carry weight; the driver sees at most 2 * sample rows of MOST_WEIGHTS values.
+    those that speak for toxic documents, however many; the driver sees at most 2 * sample rows, of
+    the values that are not zero.
     """
     small_batches(docs.sparkSession)
     few = stored(_sampled(docs, labels, text, doc_id, toxic, sample))
@@ -203,41 +249,50 @@ def fit(
                 )
 
     sizes = few.agg(F.count(F.when(F.col("bad"), 1)), F.count(F.when(~F.col("bad"), 1))).first()
-    p1, p0 = F.col("n1") / F.lit(float(max(1, sizes[0]))), F.col("n0") / F.lit(float(max(1, sizes[1])))
-    pooled = (F.col("n1") + F.col("n0")) / float(max(1, sum(sizes)))
-    spread = F.sqrt(
-        F.greatest(pooled * (1 - pooled), F.lit(1e-12)) * (1 / max(1, sizes[0]) + 1 / max(1, sizes[1]))
-    )
-    chosen = (
+    share = sizes[0] / max(1, sum(sizes))
+    both = F.col("n1") + F.col("n0")
+
+    def part(n: str, expected: float) -> Column:
+        return F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / (both * max(expected, 1e-12)))).otherwise(0.0)
+
+    # Chernoff's bound on the chance of so many toxic documents among those with the feature.
+    speaks = F.col("n1") > both * share
+    counted = stored(
         few.mapInArrow(held, "feature long, n1 long, n0 long")
         .groupBy("feature")
         .agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-        .withColumn("z", (p1 - p0) / spread)
-        .filter((F.col("z") >= LEAST_Z) & (p1 >= LEAST_SHARE))
-        .orderBy(F.desc("z"), "feature")
-        .limit(MOST_WEIGHTS)
-        .collect()
+        .select("feature", F.when(speaks, part("n1", share) + part("n0", 1 - share)).otherwise(0.0).alias("evidence"))
     )
+    steps = counted.groupBy(F.floor(F.col("evidence") / _STEP).alias("step")).count().collect()
+    least = least_evidence({r["step"]: r["count"] for r in steps})
+    chosen = counted.filter(F.floor(F.col("evidence") / _STEP) >= least).select("feature").collect()
     features = np.sort(np.array([r["feature"] for r in chosen], np.int64).view(np.uint64))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text", 1 << 20):
                 rows, at, counts, words = chosen_counts(part.column("text"), features)
-                x = np.zeros((part.num_rows, len(features)), np.float32)
-                x[rows, at] = values_of(counts, words[rows])
+                values = values_of(counts, words[rows]).astype(np.float32)
+                cuts = np.searchsorted(rows, np.arange(part.num_rows + 1))
+                bounds = list(zip(cuts[:-1], cuts[1:], strict=True))
+                at = at.astype(np.int32)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc": part.column("doc"),
                         "bad": part.column("bad"),
-                        "x": pa.array([row.tobytes() for row in x], pa.binary()),
+                        "at": pa.array([at[a:b].tobytes() for a, b in bounds], pa.binary()),
+                        "x": pa.array([values[a:b].tobytes() for a, b in bounds], pa.binary()),
                     }
                 )
 
-    rows = few.mapInArrow(measure, "doc long, bad boolean, x binary").collect()
+    rows = few.mapInArrow(measure, "doc long, bad boolean, at binary, x binary").collect()
     rows.sort(key=lambda r: r["doc"])
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], float)
-    x = x.reshape(len(rows), len(features))
+    x = Sparse(
+        np.repeat(np.arange(len(rows)), [len(r["at"]) // 4 for r in rows]),
+        np.frombuffer(b"".join(r["at"] for r in rows), np.int32),
+        np.frombuffer(b"".join(r["x"] for r in rows), np.float32).astype(float),
+        (len(rows), len(features)),
+    )
     return fit_arrays(features, x, np.array([r["bad"] for r in rows], bool))
 
 

@@ -82,3 +82,32 @@ def test_sample_is_bounded(spark):
     labels = few.select("doc_id", (F.col("doc_id") < 100).cast("int").alias("toxic"))
     sampled = toxicity._sampled(few, labels, "text", "doc_id", "toxic", 30)
     assert {r["bad"]: r["count"] for r in sampled.groupBy("bad").count().collect()} == {True: 30, False: 30}
+
+
+def test_hundreds_of_rare_insults_are_learned(spark):
+    rng = np.random.default_rng(7)
+
+    def words(n):
+        return ["".join(chr(97 + c) for c in rng.integers(0, 26, 9)) for _ in range(n)]
+
+    insults, plain_words = words(300), words(500)
+    texts = []
+    for i in range(7200):
+        text = list(rng.choice(plain_words, 30))
+        if i % 2:
+            text[5] = insults[i // 2 % 300]
+        texts.append(" ".join(text))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known = docs.filter("doc_id < 6000")
+    labels = known.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    got = toxicity.grade(docs.filter("doc_id >= 6000"), toxicity.fit(known, labels)).toPandas()
+    assert got[got["doc_id"] % 2 == 1]["toxic"].mean() > 0.9
+    assert got[got["doc_id"] % 2 == 0]["toxic"].mean() < 0.02
+
+
+def test_a_small_table_of_labels_is_enough_for_a_perfect_word(spark):
+    rows = [(i, "you idiot there" if i < 6 else "you there") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") < 6).cast("int").alias("toxic"))
+    got = toxicity.grade(docs, toxicity.fit(docs, labels)).collect()
+    assert all(r.toxic == (r.doc_id < 6) for r in got)

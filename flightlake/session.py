@@ -61,10 +61,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings results depend on to a session built by someone else."""
+    """Apply the settings results depend on to a session built by someone else.
+
+    They are made even where they hold already: a value that follows from the machine is no
+    setting, and is not sent along with a session's own.
+    """
     for key, value in REQUIRED.items():
-        if spark.conf.get(key) != value:
-            spark.conf.set(key, value)
+        spark.conf.set(key, value)
     return spark
 
 

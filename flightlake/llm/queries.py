@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import chat, decontam, langid, lm, mixing, pages, simhash, substring, topk, toxicity
+from flightlake.llm import (
+    bpe,
+    chat,
+    decontam,
+    langid,
+    lm,
+    mixing,
+    pages,
+    simhash,
+    substring,
+    topk,
+    toxicity,
+)
 from flightlake.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +91,18 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(docs, keep=["doc_id"], digest=True)
 
 
+def vocabulary_file(name: str) -> str:
+    """Where a public tokenizer's file lies. Operators take such paths as parameters."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs, vocabulary_file("byte_bpe_50k.json"), keep=["doc_id"])
+
+
 QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
     "op2_lm_score": op2_lm_score,
@@ -90,6 +114,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_decontaminate": op9_decontaminate,
     "op10_substring": op10_substring,
+    "op12_bpe": op12_bpe,
 }
 
 ORACLES: dict[str, str] = {

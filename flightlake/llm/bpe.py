@@ -7,7 +7,8 @@ import hashlib
 import heapq
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SHORT = 64
 # Rank of a pair that no merge has.
 NONE = np.int32(np.iinfo(np.int32).max)
-# How many chunks an encoder remembers (twice this at most), and the longest one it does.
+# How many chunks a generation of an encoder's memory holds, and the longest chunk it does.
 REMEMBERED = 1 << 18
 LONGEST_REMEMBERED = 128
 # Characters of a text that are cut into chunks at once.
@@ -156,14 +157,42 @@ def merge_long(word: bytes, vocabulary: Vocabulary) -> np.ndarray:
     return np.array([p for p in part if p is not None], np.int32)
 
 
+class Remembered:
+    """What `compute` makes of chunks, remembered for those that come again.
+
+    Two generations are remembered; the older one goes when the younger one is full, and what was
+    asked for meanwhile has moved to the younger one.
+    """
+
+    def __init__(self, compute: Callable[[set[str]], dict[str, Any]], most: int):
+        self.compute, self.most = compute, most
+        self.young: dict[str, Any] = {}
+        self.old: dict[str, Any] = {}
+
+    def __call__(self, chunks: list[str]) -> list:
+        found = list(map(self.young.get, chunks))
+        missing = [i for i, value in enumerate(found) if value is None]
+        if not missing:
+            return found
+        asked = {chunks[i] for i in missing}
+        fresh = {c: self.old[c] for c in asked if c in self.old}
+        fresh.update(self.compute(asked.difference(fresh)))
+        for i in missing:
+            found[i] = fresh[chunks[i]]
+        if len(self.young) + len(fresh) > self.most:
+            self.old, self.young = self.young, {}
+        if len(fresh) <= self.most:
+            self.young.update((c, v) for c, v in fresh.items() if len(c) <= LONGEST_REMEMBERED)
+        return found
+
+
 class Encoder:
     """Token ids of texts, as little-endian 32-bit numbers; remembers frequent chunks."""
 
     def __init__(self, vocabulary: Vocabulary, special: bool = True):
         self.vocabulary = vocabulary
         self.words = regex.compile(WORDS)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.ids = Remembered(self.fresh, REMEMBERED)
         names = sorted(vocabulary.special, key=len, reverse=True) if special else []
         marks = "|".join(map(re.escape, names))
         self.marks = re.compile(f"({marks})") if names else None
@@ -188,28 +217,11 @@ class Encoder:
                         found[few[row]] = packed[k * width : (k + 1) * width]
         return found
 
-    def ids(self, chunks: list[str]) -> list[bytes]:
-        """The ids of each chunk, merged where they are not remembered.
-
-        Two generations are remembered; the older one goes when the younger one is full, and
-        what was asked for meanwhile has moved to the younger one.
-        """
-        found = list(map(self.known.get, chunks))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if not missing:
-            return found
-        asked = {chunks[i] for i in missing}
-        fresh = {c: self.older[c] for c in asked if c in self.older}
-        cut = {c: [w.encode() for w in self.words.findall(c)] for c in asked.difference(fresh)}
+    def fresh(self, chunks: Iterable[str]) -> dict[str, bytes]:
+        """The ids of distinct chunks, merged anew."""
+        cut = {c: [w.encode() for w in self.words.findall(c)] for c in chunks}
         ids = self.merge([w for words in cut.values() for w in words])
-        fresh.update((c, b"".join([ids[w] for w in words])) for c, words in cut.items())
-        for i in missing:
-            found[i] = fresh[chunks[i]]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.older, self.known = self.known, {}
-        if len(fresh) <= REMEMBERED:
-            self.known.update((c, v) for c, v in fresh.items() if len(c) <= LONGEST_REMEMBERED)
-        return found
+        return {c: b"".join([ids[w] for w in words]) for c, words in cut.items()}
 
     def parts(self, text: str) -> Iterator[list[str] | int]:
         """The text as lists of chunks, and the special tokens between them."""

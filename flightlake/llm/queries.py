@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.llm import (
+    align,
     bpe,
     chat,
     decontam,
@@ -98,6 +99,12 @@ def vocabulary_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    a, b = map(vocabulary_file, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.align(docs, a, b, keep=["doc_id"])
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(docs, vocabulary_file("byte_bpe_50k.json"), keep=["doc_id"])
@@ -114,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_decontaminate": op9_decontaminate,
     "op10_substring": op10_substring,
+    "op11_alignment": op11_alignment,
     "op12_bpe": op12_bpe,
 }
 

@@ -16,6 +16,7 @@ from flightlake.llm import (
     lm,
     mixing,
     pages,
+    repair,
     simhash,
     substring,
     topk,
@@ -110,6 +111,11 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, vocabulary_file("byte_bpe_50k.json"), keep=["doc_id"])
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repaired_digests(repair.damage(rows))
+
+
 QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
     "op2_lm_score": op2_lm_score,
@@ -123,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "op10_substring": op10_substring,
     "op11_alignment": op11_alignment,
     "op12_bpe": op12_bpe,
+    "op13_repair": op13_repair,
 }
 
 ORACLES: dict[str, str] = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -9,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.functions import numeric, text, times
-from flightlake.operators import enrich, history, measures, silver, traffic
-from flightlake.plans import windows
+from flightlake.operators import enrich, history, measures, silver, traffic, uniques
+from flightlake.plans import deliveries, windows
 from flightlake.schemas import (
     AIRPORT_TRAFFIC,
     BRONZE_COLUMNS,
@@ -24,9 +25,10 @@ from flightlake.schemas import (
     ROUTE_TRAFFIC,
     SILVER_COLUMNS,
 )
-from flightlake.session import prepare
+from flightlake.session import prepare, shared_folder
 from flightlake.sources import bronze as bronze_source
 from flightlake.sources import payload, testdata
+from flightlake.streaming import gold as stream
 
 # The run date of the queries that process one day; the tables' flights span many years.
 PROCESSING_DATE = "1995-07-12"
@@ -81,6 +83,11 @@ class Lakehouse:
         return traffic.route_traffic(self.enriched)
 
 
+    def folder(self) -> str:
+        """A folder of its own, for a query that writes tables and reads them back."""
+        return f"{shared_folder(self.spark)}/lake-{uuid.uuid4()}"
+
+
 def _without_run_time(columns) -> list[str]:
     return [c for c in columns if c != "processed_at"]
 
@@ -357,6 +364,92 @@ def _upserted(gold: DataFrame, table) -> DataFrame:
     return history.upsert(target, batch, table.key)
 
 
+# Stored -----------------------------------------------------------------------------------
+
+
+def _stored_replaced(lake: Lakehouse, gold: DataFrame, table) -> DataFrame:
+    """What `_replaced` gives, by way of the stored table."""
+    path = lake.folder()
+    history.write_gold(_outdated(gold, table), path, table)
+    history.write_gold_day(gold, path, PROCESSING_DATE, table)
+    return history.read_gold(lake.spark, path, table)
+
+
+def _stored_upserted(lake: Lakehouse, gold: DataFrame, table) -> DataFrame:
+    """What `_upserted` gives, by way of stored tables."""
+    folder = lake.folder()
+    target = _outdated(gold, table).where(~(_on_run_date() & (F.col("unique_aircraft") > 1)))
+    history.write_gold(target, f"{folder}/target", table)
+    batch = traffic.filter_date(gold, PROCESSING_DATE).where(F.col(table.metric) % 3 != 0)
+    history.write_gold(batch, f"{folder}/batch", table)
+    stored = history.read_gold(lake.spark, f"{folder}/batch", table)
+    history.upsert_gold(lake.spark, stored, f"{folder}/target", table)
+    return history.read_gold(lake.spark, f"{folder}/target", table)
+
+
+def _bronze_of_delivery(lake: Lakehouse, batch: str) -> DataFrame:
+    """One of the two deliveries, its row order in the form of landed files."""
+    line = F.col("row_order.l_linenumber").cast("long")
+    order = F.struct(
+        F.lit(None).cast("string").alias("part"),
+        F.col("row_order.o_orderkey").cast("long").alias("block"),
+        (F.shiftleft(line, 40) + F.col("row_order.l_partkey")).alias("id"),
+    )
+    some = lake.bronze.where(F.col("bronze_file") == batch)
+    return some.withColumn("row_order", order)
+
+
+def _delivered(lake: Lakehouse) -> deliveries.DeliveryLake:
+    """Both deliveries stored one after the other, the second of which repeats many records."""
+    stored = deliveries.DeliveryLake(lake.folder(), "")
+    for batch in ("a", "b"):
+        deliveries.store(_bronze_of_delivery(lake, batch), stored.flights, batch)
+    return stored
+
+
+def silver_across_deliveries(lake: Lakehouse) -> DataFrame:
+    flights = deliveries.all_flights(lake.spark, _delivered(lake).flights)
+    return flights.select(*_without_run_time(SILVER_COLUMNS))
+
+
+def late_gold_country(lake: Lakehouse) -> DataFrame:
+    """Gold of the dates that the later, smaller delivery touches, refreshed over both."""
+    stored = deliveries.DeliveryLake(lake.folder(), "")
+    first, second = (_bronze_of_delivery(lake, b) for b in ("a", "b"))
+    late = F.col("row_order.block") % 3 == 0
+    parts = {"1": first.where(~late), "2": first.where(late).unionByName(second)}
+    for name, batches in parts.items():
+        deliveries.take(lake.spark, stored, batches, name, lake.lookup, [COUNTRY_TRAFFIC])
+    return history.read_gold(lake.spark, stored.gold(COUNTRY_TRAFFIC), COUNTRY_TRAFFIC)
+
+
+def stream_gold(lake: Lakehouse) -> DataFrame:
+    """Two batches land one after the other; the stream takes in each when it has come."""
+    stored = deliveries.DeliveryLake(lake.folder(), "")
+    hours = {"a": "00-00_to_02-00", "b": "02-00_to_04-00"}
+    for batch, window in hours.items():
+        name = f"flights_{PROCESSING_DATE}_{window}.csv"
+        rows = _bronze_of_delivery(lake, batch).withColumn("bronze_file", F.lit(name))
+        bronze_source.write_landed(rows, stored.bronze, PROCESSING_DATE, [name])
+        stream.catch_up(lake.spark, stored, lake.lookup, [AIRPORT_TRAFFIC])
+    return history.read_gold(lake.spark, stored.gold(AIRPORT_TRAFFIC), AIRPORT_TRAFFIC)
+
+
+# Aircraft over spans of dates -------------------------------------------------------------
+
+
+def _bitmaps(lake: Lakehouse, dimension: str) -> DataFrame:
+    return uniques.daily_bitmaps(lake.enriched, uniques.number_aircraft(lake.silver), dimension)
+
+
+def aircraft_by_month_airport(lake: Lakehouse) -> DataFrame:
+    return uniques.aircraft_by_month(_bitmaps(lake, "airport"), "airport")
+
+
+def aircraft_in_span_country(lake: Lakehouse) -> DataFrame:
+    return uniques.aircraft_between(_bitmaps(lake, "country"), "country", "1994-01-01", "1996-12-31")
+
+
 # Dashboard --------------------------------------------------------------------------------
 
 
@@ -456,6 +549,20 @@ QUERIES: dict[str, Callable[[Lakehouse], DataFrame]] = {
     ),
     "trend_airport": lambda lake: measures.trend(lake.airports, AIRPORT_TRAFFIC),
     "trend_route": lambda lake: measures.trend(lake.routes, ROUTE_TRAFFIC),
+    "calendar_trend_airport": lambda lake: measures.calendar_trend(lake.airports, AIRPORT_TRAFFIC),
+    "calendar_trend_route": lambda lake: measures.calendar_trend(lake.routes, ROUTE_TRAFFIC),
+    "kpi_cube": lambda lake: measures.kpi_cube(lake.enriched),
+    "aircraft_by_month_airport": aircraft_by_month_airport,
+    "aircraft_in_span_country": aircraft_in_span_country,
+    "silver_across_deliveries": silver_across_deliveries,
+    "late_gold_country": late_gold_country,
+    "stream_gold": stream_gold,
+    "stored_replace_airport": lambda lake: _stored_replaced(lake, lake.airports, AIRPORT_TRAFFIC),
+    "stored_replace_country": lambda lake: _stored_replaced(lake, lake.countries, COUNTRY_TRAFFIC),
+    "stored_replace_route": lambda lake: _stored_replaced(lake, lake.routes, ROUTE_TRAFFIC),
+    "stored_upsert_airport": lambda lake: _stored_upserted(lake, lake.airports, AIRPORT_TRAFFIC),
+    "stored_upsert_country": lambda lake: _stored_upserted(lake, lake.countries, COUNTRY_TRAFFIC),
+    "stored_upsert_route": lambda lake: _stored_upserted(lake, lake.routes, ROUTE_TRAFFIC),
     "routes_between_top_airports": lambda lake: measures.routes_between_top_airports(
         lake.airports, lake.routes
     ),

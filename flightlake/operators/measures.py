@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 
 from flightlake.functions.numeric import count_or_zero
 from flightlake.operators.history import ranking_order
-from flightlake.operators.traffic import aircraft_activity, all_known, movements
+from flightlake.operators.traffic import (
+    aircraft_activity,
+    airport_activity,
+    all_known,
+    movements,
+)
 from flightlake.schemas import GoldTable
 from flightlake.session import parse_day
 
@@ -150,6 +155,76 @@ def trend(gold: DataFrame, table: GoldTable) -> DataFrame:
     )
 
 
+def calendar_trend(gold: DataFrame, table: GoldTable, days: int = 7) -> DataFrame:
+    """Activity on every calendar day from an entity's first to its last active date.
+
+    Days without activity are zero rows. The change is that from the day before, and the moving
+    sum goes over the last `days` calendar days. A date's gap is filled from the date itself up to
+    the next active one, so the calendar needs no join: one shuffle, by entity, as in `trend`.
+    """
+    entity = [k for k in table.key if k != "flight_date"]
+    dated = Window.partitionBy(*entity).orderBy("flight_date")
+    following = F.lead("flight_date").over(dated)
+    until = F.coalesce(F.date_sub(following, 1), F.col("flight_date"))
+    filled = (
+        gold.select("flight_date", *entity, table.metric, "unique_aircraft", until.alias("until"))
+        .withColumn("day", F.explode(F.sequence("flight_date", "until")))
+        .withColumn("active", F.col("day") == F.col("flight_date"))
+    )
+    daily = filled.select(
+        F.col("day").alias("flight_date"),
+        *entity,
+        *[
+            F.when(F.col("active"), F.col(c)).otherwise(F.lit(0)).alias(c)
+            for c in (table.metric, "unique_aircraft")
+        ],
+    )
+    recent = (
+        Window.partitionBy(*entity).orderBy(F.unix_date("flight_date")).rangeBetween(1 - days, 0)
+    )
+    return daily.withColumns(
+        {
+            "change": F.col(table.metric) - F.lag(table.metric).over(dated),
+            "moving_sum": F.sum(table.metric).over(recent),
+        }
+    )
+
+
+CUBE = ["flight_date", "country", "airport"]
+# The levels a dashboard shows: any choice of date, country and airport, an airport implying its
+# country.
+CUBE_LEVELS = [CUBE, CUBE[:2], CUBE[:1], CUBE[1:], CUBE[1:2], []]
+
+
+def kpi_cube(enriched: DataFrame) -> DataFrame:
+    """Departures, arrivals, traffic and distinct aircraft at every level of the slicers, in one
+    pass over the flights.
+
+    `level` has a bit set for each of date (4), country (2) and airport (1) that is summed over.
+    Flights are folded to a row per aircraft, airport and date first; only these rows are copied
+    to the levels, where aircraft are folded again, so distinct counts are plain counts. Unknown
+    aircraft keep their group and count nothing.
+    """
+    activity = airport_activity(enriched)
+    sets = [[F.col(c) for c in (*level, "icao24")] for level in CUBE_LEVELS]
+    per_aircraft = activity.groupingSets(sets, *CUBE, "icao24").agg(
+        # The aircraft is part of every level, so its bit, the lowest, is never set.
+        F.shiftright(F.grouping_id(), 1).alias("level"),
+        F.sum("n_departures").alias("n_departures"),
+        F.sum("n_arrivals").alias("n_arrivals"),
+    )
+    known = F.col("icao24").isNotNull()
+    return (
+        per_aircraft.groupBy("level", *CUBE)
+        .agg(
+            count_or_zero(F.sum(F.when(known, F.col("n_departures")))).alias("departures"),
+            count_or_zero(F.sum(F.when(known, F.col("n_arrivals")))).alias("arrivals"),
+            F.count("icao24").alias("aircraft"),
+        )
+        .withColumn("total_traffic", F.col("departures") + F.col("arrivals"))
+    )
+
+
 def routes_between_top_airports(airports: DataFrame, routes: DataFrame, k: int = 10) -> DataFrame:
     """Routes whose two ends are both among the k busiest airports, over all dates."""
     busiest = (

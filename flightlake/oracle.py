@@ -354,6 +354,23 @@ def _trend(table: str, metric: str, entity: str) -> str:
     )
 
 
+def _calendar(table: str, metric: str, entity: str) -> str:
+    """Every day between an entity's first and last one, joined with its activity."""
+    entities = entity.split(", ")
+    on = " AND ".join(f"s.{e} = g.{e}" for e in entities)
+    return f"""
+    SELECT CAST(day AS DATE) AS flight_date, {', '.join(f's.{e} AS {e}' for e in entities)},
+           coalesce({metric}, 0) AS {metric}, coalesce(unique_aircraft, 0) AS unique_aircraft,
+           coalesce({metric}, 0) - lag(coalesce({metric}, 0)) OVER dated AS change,
+           CAST(sum(coalesce({metric}, 0)) OVER (dated RANGE BETWEEN INTERVAL 6 DAYS PRECEDING
+                                                 AND CURRENT ROW) AS BIGINT) AS moving_sum
+    FROM (SELECT {entity}, unnest(generate_series(min(flight_date)::TIMESTAMP,
+                 max(flight_date)::TIMESTAMP, INTERVAL 1 DAY)) AS day
+          FROM {table} GROUP BY {entity}) s
+    LEFT JOIN {table} g ON {on} AND g.flight_date = CAST(s.day AS DATE)
+    WINDOW dated AS (PARTITION BY {', '.join(f's.{e}' for e in entities)} ORDER BY day)"""
+
+
 # Query -> (layers it reads, final select).
 FINAL: dict[str, tuple[list[str], str]] = {
     "bronze_project": (["bronze"], f"SELECT {', '.join(_BRONZE)} FROM bronze"),
@@ -633,6 +650,52 @@ FINAL: dict[str, tuple[list[str], str]] = {
     ),
 }
 
+FINAL |= {
+    "calendar_trend_airport": (
+        ["airport_gold"],
+        _calendar("airport_gold", "total_traffic", "airport"),
+    ),
+    "calendar_trend_route": (
+        ["route_gold"],
+        _calendar("route_gold", "flight_count", "departure_airport, arrival_airport"),
+    ),
+    "kpi_cube": (
+        ["moves"],
+        """SELECT GROUPING(flight_date, country, airport) AS level, flight_date, country, airport,
+                  CAST(coalesce(sum(dep) FILTER (icao24 IS NOT NULL), 0) AS BIGINT) AS departures,
+                  CAST(coalesce(sum(arr) FILTER (icao24 IS NOT NULL), 0) AS BIGINT) AS arrivals,
+                  count(DISTINCT icao24) AS aircraft, count(icao24) AS total_traffic
+           FROM moves
+           GROUP BY GROUPING SETS ((flight_date, country, airport), (flight_date, country),
+                                   (flight_date), (country, airport), (country), ())""",
+    ),
+    "aircraft_by_month_airport": (
+        ["enriched"],
+        """SELECT CAST(date_trunc('month', flight_date) AS DATE) AS month, airport,
+                  count(DISTINCT icao24) AS aircraft
+           FROM (SELECT flight_date, departure_airport AS airport, icao24 FROM enriched
+                 UNION ALL SELECT flight_date, arrival_airport, icao24 FROM enriched)
+           WHERE flight_date IS NOT NULL AND airport IS NOT NULL AND icao24 IS NOT NULL
+           GROUP BY ALL""",
+    ),
+    "aircraft_in_span_country": (
+        ["moves"],
+        """SELECT country, count(DISTINCT icao24) AS aircraft FROM moves
+           WHERE flight_date BETWEEN DATE '1994-01-01' AND DATE '1996-12-31'
+             AND icao24 IS NOT NULL
+           GROUP BY country""",
+    ),
+    "silver_across_deliveries": FINAL["silver_flights"],
+    "late_gold_country": FINAL["country_traffic"],
+    "stream_gold": FINAL["airport_traffic"],
+    # The stored form ends with what the form in memory gives.
+    **{
+        f"stored_{name}_{table}": FINAL[f"{form}_{table}"]
+        for name, form in (("replace", "gold_replace"), ("upsert", "upsert"))
+        for table in ("airport", "country", "route")
+    },
+}
+
 _BUSIEST = """busiest AS (SELECT airport FROM airport_gold GROUP BY airport
 ORDER BY sum(total_traffic) DESC, airport LIMIT 10)"""
 

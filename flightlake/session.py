@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,11 @@ PARTITIONS_PER_CORE = 16
 LEAST_PARTITIONS = 200
 
 
+# Folders are listed by one task each up to this number, which for thousands of small ones costs
+# more than the listing.
+LISTING_TASKS, LISTING_DEFAULT = "spark.sql.sources.parallelPartitionDiscovery.parallelism", "10000"
+
+
 def build_session(app_name: str = "flightlake", master: str | None = None, **conf) -> SparkSession:
     """A session with the given settings; defaults only fill what is not set elsewhere.
 
@@ -68,9 +74,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
+    if spark.conf.get(LISTING_TASKS) == LISTING_DEFAULT:
+        spark.conf.set(LISTING_TASKS, 4 * spark.sparkContext.defaultParallelism)
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, which `spark.checkpoint.dir` names.
+
+    Only on one machine, as in tests, a temporary one is taken where none is named; executors of
+    a cluster would not see it.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="shared-")
+
+
 def parse_day(day: str | dt.date) -> dt.date:
     """Strict YYYY-MM-DD; anything else is an error before any job starts."""
     if isinstance(day, dt.datetime):

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
-
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from flightlake.sources import tables
 
 LINEAGE = "bronze_file"
 ROW_ORDER = "row_order"
+# Headers read at the same time.
+PROBES_AT_ONCE = 8
 
 
 def normalize_headers(df: DataFrame) -> DataFrame:
@@ -67,22 +70,25 @@ def _read_landed(spark: SparkSession, bronze_dir: str, day: str | dt.date) -> Da
 
 
 def csv_headers(spark: SparkSession, paths: str) -> dict[str, list[str]]:
-    """The files by their header line. One job reads them as plain lines; what comes to the
-    driver is a line per file."""
-    lines = spark.read.text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"),
-    )
-    first = (
-        lines.where("block = 0")
-        .groupBy("path")
-        .agg(F.min_by("value", F.struct("block", "id")).alias("header"))
-    )
+    """The files by their header line, of which each file's first block gives one.
+
+    A file's probe is a job of one task that ends with the first line, so of each file only the
+    beginning is read, however large it is. Files are probed side by side; a date has one for
+    each window, or one for each part of a window.
+    """
+    listed = spark.read.format("binaryFile").load(paths).select("path").collect()
+    files = sorted(row["path"] for row in listed)
+
+    def header(path: str) -> str | None:
+        lines = spark.read.text(path).where("_metadata.file_block_start = 0")
+        first = lines.select("value").first()
+        return None if first is None else first["value"].removeprefix("\ufeff")
+
     found: dict[str, list[str]] = {}
-    for row in first.orderBy("path").collect():
-        found.setdefault(row["header"].removeprefix("\ufeff"), []).append(row["path"])
+    with ThreadPoolExecutor(PROBES_AT_ONCE) as probes:
+        for path, line in zip(files, probes.map(inheritable_thread_target(spark)(header), files), strict=True):
+            if line is not None:
+                found.setdefault(line, []).append(path)
     return found
 
 

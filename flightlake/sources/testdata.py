@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def leaves_cores_idle(scan: DataFrame) -> bool:
+    """Whether a scan has fewer splits than there are cores, as a small file has."""
+    return scan.rdd.getNumPartitions() < scan.sparkSession.sparkContext.defaultParallelism
+
+
 def _text(c: Column) -> Column:
     return c.cast("string")
 
@@ -31,7 +36,8 @@ def bronze_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Customers join the orders before the far larger lines do, so lines are shuffled once, by
     order. The second delivery of a line is made by exploding it after the joins, so every
-    table is scanned and joined once.
+    table is scanned and joined once. The lines of a file with fewer splits than there are cores
+    are dealt out before the joins, so that cleaning uses every core; a large table never is.
     """
     nation = table(spark, sf_dir, "nation")
     supplier_nation = (
@@ -46,6 +52,9 @@ def bronze_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("o_orderkey", "o_orderdate", F.col("n_name").alias("customer_nation"))
     )
     lines = table(spark, sf_dir, "lineitem")
+    if leaves_cores_idle(lines):
+        cores = spark.sparkContext.defaultParallelism
+        lines = lines.repartition(cores, "l_orderkey", "l_linenumber")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         supplier_nation, F.col("l_suppkey") == F.col("s_suppkey")
     )

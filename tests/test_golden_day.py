@@ -409,3 +409,28 @@ def test_top_k(spark, lake):
     assert [r["country"] for r in top.collect()] == ["IN"]
     top = measures.top_k(gold["route_traffic"], ROUTE_TRAFFIC, 3)
     assert [r["route"] for r in top.collect()] == ["FYWH -> EGLL", "VABB -> VABB", "VABB -> VIDP"]
+
+
+def bytes_read(spark):
+    stats = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+    return sum(stats.get(i).getBytesRead() for i in range(stats.size()))
+
+
+def test_headers_are_read_without_the_data(spark, folder):
+    """Of large files only the beginning is read to tell their columns."""
+    line = ",".join(["x" * 40] * len(BRONZE_COLUMNS)) + "\n"
+    os.makedirs(f"{folder}/bronze")
+    for name in (golden.F0, golden.F1):
+        with open(f"{folder}/bronze/{name}", "w") as out:
+            out.write(",".join(BRONZE_COLUMNS) + "\n")
+            out.writelines([line] * 40_000)
+    size = os.path.getsize(f"{folder}/bronze/{golden.F0}")
+    before = bytes_read(spark)
+    found = bronze.csv_headers(spark, bronze.batch_glob(f"{folder}/bronze", golden.DAY))
+    assert [len(paths) for paths in found.values()] == [2]
+    assert bytes_read(spark) - before < size / 10
+
+
+def test_a_file_without_lines_has_no_header(spark, lake):
+    open(f"{lake.bronze}/{golden.F2}", "w").close()
+    assert batches(spark, lake).count() == 12

@@ -69,6 +69,29 @@ class Item:
     answer: np.ndarray
 
 
+class Bounds:
+    """The largest impact per term and block, of the blocks only in which a term occurs."""
+
+    def __init__(self, block_most: dict[int, dict[int, float]], terms: int, blocks: int):
+        sizes = np.zeros(terms, np.int64)
+        for term, most in block_most.items():
+            sizes[term] = len(most)
+        ordered = [block_most[t] for t in sorted(block_most)]
+        self.blocks = blocks
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.block = np.array([b for most in ordered for b in most], np.int64)
+        self.value = np.array([v for most in ordered for v in most.values()])
+        self.used = sizes > 0
+
+    def sums(self, rows: np.ndarray, terms: np.ndarray, n: int) -> np.ndarray:
+        """Per row and block the bounds of the row's terms added up."""
+        sizes = self.starts[terms + 1] - self.starts[terms]
+        ends = np.cumsum(sizes)
+        at = np.arange(int(sizes.sum())) + np.repeat(self.starts[terms] - (ends - sizes), sizes)
+        cells = np.repeat(rows, sizes) * self.blocks + self.block[at]
+        return np.bincount(cells, self.value[at], n * self.blocks).reshape(n, self.blocks)
+
+
 @dataclass
 class Lists:
     """The inverted index of items of similar length, of at most `words` words."""
@@ -77,8 +100,8 @@ class Lists:
     items: list[int] = field(default_factory=list)  # numbers of its items, ascending
     postings: dict[int, tuple[list[int], list[float]]] = field(default_factory=dict)
     most: dict[int, float] = field(default_factory=dict)
-    block_most: dict[int, list[float]] = field(default_factory=dict)
-    bounds: np.ndarray | None = None  # per term and block, the largest impact
+    block_most: dict[int, dict[int, float]] = field(default_factory=dict)
+    bounds: Bounds | None = None
 
 
 @dataclass
@@ -121,12 +144,12 @@ def build(rows: list[dict], count: int, mean_length: float, threshold: float) ->
             places.append(place)
             values.append(value)
     for group in classes.values():
-        blocks = -(-len(group.items) // BLOCK)
-        group.bounds = np.zeros((len(terms), blocks), np.float32)
         for term, (places, values) in group.postings.items():
-            np.maximum.at(group.bounds[term], np.array(places) // BLOCK, np.array(values, np.float32))
+            most = group.block_most[term] = {}
+            for place, value in zip(places, values, strict=True):
+                most[place // BLOCK] = max(value, most.get(place // BLOCK, 0.0))
             group.most[term] = max(values)
-            group.block_most[term] = group.bounds[term].tolist()
+        group.bounds = Bounds(group.block_most, len(terms), -(-len(group.items) // BLOCK))
     return Index(items, terms, [classes[k] for k in sorted(classes)], threshold)
 
 
@@ -139,7 +162,7 @@ def block_max_wand(group: Lists, query: list[int], threshold: float) -> list[tup
     """
     lists = [(group.postings[t], group.most[t], group.block_most[t]) for t in query if t in group.postings]
     cursors = [[p[0][0], 0, p[0], p[1], most, blocks] for p, most, blocks in lists]
-    slack = threshold - 1e-6  # bounds are single precision
+    slack = threshold - 1e-6  # sums are rounded
     found = []
     while cursors:
         cursors.sort(key=lambda c: c[0])
@@ -155,7 +178,7 @@ def block_max_wand(group: Lists, query: list[int], threshold: float) -> list[tup
         while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
             pivot += 1
         block = item // BLOCK
-        if sum(c[5][block] for c in cursors[: pivot + 1]) < slack:
+        if sum(c[5].get(block, 0.0) for c in cursors[: pivot + 1]) < slack:
             target = (block + 1) * BLOCK
             if pivot + 1 < len(cursors):
                 target = min(target, cursors[pivot + 1][0])
@@ -203,16 +226,13 @@ def matches(texts: pa.Array, index: Index) -> list[tuple[int, int, float, float,
         halves = -(-np.diff(bounds) // group.words)
         first = np.concatenate([[0], np.cumsum(halves)])
         half_owner = np.repeat(np.arange(len(halves)), halves)
-        used = group.bounds.any(axis=1)
-        mine = np.flatnonzero((numbers >= 0) & used[numbers])
+        mine = np.flatnonzero((numbers >= 0) & group.bounds.used[numbers])
         if len(mine) == 0:
             continue
         half = first[owner[mine]] + place[mine] // group.words
         pairs = _distinct(half * len(index.terms) + numbers[mine])
         half, term = pairs // len(index.terms), pairs % len(index.terms)
-        heads = np.flatnonzero(np.diff(half, prepend=-1))
-        bound = np.zeros((int(first[-1]) + 1, group.bounds.shape[1]), np.float32)
-        bound[half[heads]] = np.add.reduceat(group.bounds[term], heads, axis=0)
+        bound = group.bounds.sums(half, term, int(first[-1]) + 1)
         # A passage is a half and the next, if that is of the same text.
         follows = np.zeros(int(first[-1]), bool)
         follows[:-1] = half_owner[1:] == half_owner[:-1]
@@ -221,7 +241,7 @@ def matches(texts: pa.Array, index: Index) -> list[tuple[int, int, float, float,
             low, high = np.searchsorted(half, [k, k + 1 + bool(follows[k])])
             # Terms of both halves counted twice so far.
             query = _distinct(term[low:high])
-            if group.bounds[query].sum(axis=0).max() < index.threshold - 1e-4:
+            if group.bounds.sums(np.zeros(len(query), np.int64), query, 1).max() < index.threshold - 1e-4:
                 continue
             hits = block_max_wand(group, query.tolist(), index.threshold)
             if not hits:
@@ -266,10 +286,14 @@ def fit(items: DataFrame, text: str = "text", item_id: str = "item_id", threshol
     is sent along with a pass over the documents has that bound. Equal rows are one item; items
     without words are left out.
     """
-    rows = items.select(
-        F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("text")
-    ).filter(F.col("text").isNotNull()).distinct()
-    schema = "item_id long, text string, length long, term long, tf long"
+    rows = (
+        items.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("text"))
+        .filter(F.col("text").isNotNull())
+        .distinct()
+        .withColumn("digest", F.sha2("text", 256))
+    )
+    # A posting names its item by id and hash; texts are joined back once, an item each.
+    schema = "item_id long, digest string, bytes long, length long, term long, tf long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,10 +301,12 @@ def fit(items: DataFrame, text: str = "text", item_id: str = "item_id", threshol
             for i in range(batch.num_rows):
                 terms, tf = np.unique(hashes[bounds[i] : bounds[i + 1]], return_counts=True)
                 n = len(terms)
+                size = len(batch.column("text")[i].as_py().encode())
                 yield pa.RecordBatch.from_pydict(
                     {
                         "item_id": pa.array([batch.column("item_id")[i].as_py()] * n, pa.int64()),
-                        "text": pa.array([batch.column("text")[i].as_py()] * n, pa.string()),
+                        "digest": pa.array([batch.column("digest")[i].as_py()] * n, pa.string()),
+                        "bytes": pa.array(np.full(n, size, np.int64)),
                         "length": pa.array(np.full(n, tf.sum(), np.int64)),
                         "term": pa.array(terms.view(np.int64)),
                         "tf": pa.array(tf.astype(np.int64)),
@@ -289,17 +315,20 @@ def fit(items: DataFrame, text: str = "text", item_id: str = "item_id", threshol
 
     postings = rows.mapInArrow(count, schema)
     df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    joined = postings.join(df, "term")
-    entries = joined.groupBy("item_id", "text", "length").agg(
-        F.sort_array(F.collect_list(F.struct("term", "tf", "df"))).alias("entries")
+    entries = (
+        postings.join(df, "term")
+        .groupBy("item_id", "digest", "length")
+        .agg(F.sort_array(F.collect_list(F.struct("term", "tf", "df"))).alias("entries"))
     )
+    same = entries["item_id"].eqNullSafe(rows["item_id"]) & (entries["digest"] == rows["digest"])
+    entries = entries.join(rows, same).select(entries["item_id"], "text", "length", "entries")
     totals = (
-        postings.select("item_id", "text", "length")
+        postings.select("item_id", "digest", "bytes", "length")
         .distinct()
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.avg("length").alias("mean"),
-            F.sum(F.octet_length("text") + 64 * F.col("length")).alias("bytes"),
+            F.sum(F.col("bytes") + 64 * F.col("length")).alias("bytes"),
         )
         .first()
     )

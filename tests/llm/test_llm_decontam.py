@@ -142,3 +142,24 @@ def test_question_and_answer():
     assert decontam.question_and_answer("a b c d e f g h") == ("a b c d e f", "g h")
     assert decontam.question_and_answer("one") == ("", "one")
     assert decontam.question_and_answer("") == ("", "")
+
+
+def test_a_very_long_item_is_indexed_and_found(spark):
+    """Memory follows the item's length, not its length times its words."""
+    words = [f"w{i}x{i * 7 % 1000}" for i in range(30_000)]
+    item = " ".join(words[:-40]) + ". " + " ".join(words[-40:])
+    items = spark.createDataFrame([(1, item), (2, "a short question of few words? the answer is here")], "item_id long, text string")
+    indexes = decontam.fit(items)
+    docs = plain.documents(spark, ["before " + item + " after", "nothing of the kind", " ".join(words[:9000])])
+    got = [(r.doc_id, r.item_id) for r in decontam.find(docs, indexes).collect()]
+    assert got == [(0, 1)]
+
+
+def test_bounds_hold_only_blocks_a_term_occurs_in():
+    import numpy as np
+
+    most = {0: {0: 0.5, 3: 0.25}, 2: {1: 1.0}}
+    bounds = decontam.Bounds(most, 4, 5)
+    assert bounds.used.tolist() == [True, False, True, False]
+    got = bounds.sums(np.array([0, 0, 1]), np.array([0, 2, 2]), 3)
+    assert got.tolist() == [[0.5, 1.0, 0, 0.25, 0], [0, 1.0, 0, 0, 0], [0] * 5]

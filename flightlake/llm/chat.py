@@ -157,10 +157,13 @@ def _loss_spans(formatted: Column) -> Column:
 
 
 def digests(chats: DataFrame) -> DataFrame:
-    """What a formatted conversation holds, as counts and hashes of what is read back."""
+    """What a formatted conversation holds, as counts and hashes of what is read back. The loss
+    figures are those of the text under the mask: its spans, cut out of `formatted` and
+    unescaped."""
     loss = F.array_join(
         F.transform(
-            F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]
+            "loss_spans",
+            lambda s: unescape_text(F.col("formatted").substr(s["start"], s["length"])),
         ),
         "",
     )

@@ -38,20 +38,22 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The frame computed once and read back from the shared checkpoint folder.
-
-    The folder is the session's `spark.checkpoint.dir`; only where none is named, as in tests,
-    a temporary one is taken.
-    """
+    """The frame computed once and read back from the shared checkpoint folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for stored steps, which the driver and all executors share."""
+    """The folder for stored steps, which the driver and all executors share.
+
+    It is the session's `spark.checkpoint.dir`. Only on one machine, as in tests, a temporary one
+    is taken where none is named; executors of a cluster would not see it.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and context.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 

@@ -117,3 +117,13 @@ def test_escaping_is_undone(spark, text):
     row = spark.range(1).select(chat.unescape_text(chat.escape_text(F.lit(text))), chat.escape_text(F.lit(text)))
     back, escaped = row.first()
     assert back == text and chat.START not in escaped and chat.END not in escaped
+
+
+def test_loss_figures_are_those_of_the_mask(spark):
+    """A wrong span would show: the digests cut the text out of the formatted conversation."""
+    rows = [(1, 0, "user", "Hi"), (1, 1, "assistant", "<|im_end|> you"), (1, 2, "assistant", "é🙂 too")]
+    chats = chat.format_chats(spark.createDataFrame(rows, SCHEMA))
+    right = chat.digests(chats).first()
+    assert right.loss_sha256 == sha("<|im_end|> youé🙂 too")
+    moved = F.transform("loss_spans", lambda s: F.struct((s["start"] + 1).alias("start"), s["length"].alias("length")))
+    assert chat.digests(chats.withColumn("loss_spans", moved)).first().loss_sha256 != right.loss_sha256

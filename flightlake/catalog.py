@@ -569,5 +569,13 @@ QUERIES: dict[str, Callable[[Lakehouse], DataFrame]] = {
 }
 
 
+# Queries that write tables and read them back.
+STORED = {name for name in QUERIES if name.startswith("stored_")} | {
+    "silver_across_deliveries",
+    "late_gold_country",
+    "stream_gold",
+}
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_timestamps(QUERIES[name](Lakehouse(spark, sf_dir)))

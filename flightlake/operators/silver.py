@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from flightlake.functions import numeric, text, times
@@ -95,6 +95,35 @@ def build_silver(bronze: DataFrame) -> DataFrame:
     return flights.select(*[F.col(f.name).cast(f.dataType) for f in SILVER_SCHEMA])
 
 
+class SilverCounts:
+    """Counts of a silver run, taken while its rows are written.
+
+    `observed` frames carry the counts along; `counts` has them once they were written. They are
+    those of `silver_quality`, without another scan. Rows read are counted before the shuffle: if
+    an executor is lost and a task there runs again, its rows count again, so a report over
+    such a run belongs to `silver_quality`.
+    """
+
+    def __init__(self):
+        self.read, self.kept = Observation(), Observation()
+
+    def observed_bronze(self, bronze: DataFrame) -> DataFrame:
+        return bronze.observe(self.read, F.count(F.lit(1)).alias("rows"))
+
+    def observed_silver(self, flights: DataFrame) -> DataFrame:
+        return flights.observe(
+            self.kept,
+            F.count(F.lit(1)).alias("rows_after"),
+            F.count("departure_airport").alias("rows_with_departure"),
+            F.count("arrival_airport").alias("rows_with_arrival"),
+            F.count("route").alias("rows_with_route"),
+        )
+
+    def counts(self) -> dict[str, int]:
+        kept = self.kept.get
+        return {"duplicates_removed": self.read.get["rows"] - kept["rows_after"], **kept}
+
+
 def silver_quality(bronze: DataFrame) -> DataFrame:
     """What cleaning did: duplicates removed, rows left, rows with each airport and a route.
 

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.functions import times
@@ -82,20 +82,33 @@ def landed_windows(spark: SparkSession, lake: Lake, day: str | dt.date) -> DataF
 
 def silver_day(
     spark: SparkSession, lake: Lake, day: str | dt.date, na_tokens: Iterable[str] = ()
-) -> None:
-    """Clean all batches of the date; without any the scan fails."""
+) -> dict[str, int]:
+    """Clean all batches of the date; without any the scan fails. Returns the run's counts, those
+    of `silver.silver_quality`, which are taken as the rows are written."""
+    counted = silver.SilverCounts()
     batches = bronze.read_bronze(prepare(spark), lake.bronze, day, na_tokens)
-    tables.write_day(silver.build_silver(batches), lake.silver, day)
+    flights = silver.build_silver(counted.observed_bronze(batches))
+    tables.write_day(counted.observed_silver(flights), lake.silver, day)
+    return counted.counts()
 
 
 def enrich_day(
     spark: SparkSession, lake: Lake, day: str | dt.date, na_tokens: Iterable[str] = ()
-) -> None:
+) -> dict[str, int]:
+    """Add airports at both ends. Returns how many flights matched, counted on the way."""
     flights = tables.read_day(prepare(spark), lake.silver, SILVER_SCHEMA, day)
     reference = airports.read_airports(spark, lake.airports_csv, na_tokens)
     lookup = enrich.build_lookup(reference)
     small = enrich.is_broadcastable(lookup)
-    tables.write_day(enrich.enrich_flights(flights, lookup, small), lake.enriched, day)
+    matched = Observation()
+    enriched = enrich.enrich_flights(flights, lookup, small).observe(
+        matched,
+        F.count(F.lit(1)).alias("flights"),
+        F.count("departure_airport_name").alias("departures_matched"),
+        F.count("arrival_airport_name").alias("arrivals_matched"),
+    )
+    tables.write_day(enriched, lake.enriched, day)
+    return dict(matched.get)
 
 
 def enriched_flights_of(spark: SparkSession, lake: Lake, day: str | dt.date) -> DataFrame:

@@ -434,3 +434,15 @@ def test_headers_are_read_without_the_data(spark, folder):
 def test_a_file_without_lines_has_no_header(spark, lake):
     open(f"{lake.bronze}/{golden.F2}", "w").close()
     assert batches(spark, lake).count() == 12
+
+
+def test_counts_of_a_run_are_taken_on_the_way(spark, lake):
+    found = daily.silver_day(spark, lake, golden.DAY)
+    assert found == silver.silver_quality(batches(spark, lake)).first().asDict()
+    assert daily.enrich_day(spark, lake, golden.DAY) == {
+        "flights": 11, "departures_matched": 9, "arrivals_matched": 11,
+    }
+    # An empty day is counted, too.
+    for name in (golden.F0, golden.F1):
+        golden.write_csv(f"{lake.bronze}/{name}", BRONZE_COLUMNS, [])
+    assert set(daily.silver_day(spark, lake, golden.DAY).values()) == {0}

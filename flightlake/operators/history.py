@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,14 @@ from pyspark.sql import functions as F
 from flightlake.operators.traffic import enforce_schema
 from flightlake.schemas import GoldTable
 from flightlake.session import parse_day
-from flightlake.sources.tables import exists, read_date, read_dated, write_date, write_dated
+from flightlake.sources.tables import (
+    exists,
+    read_date,
+    read_dated,
+    setting,
+    write_date,
+    write_dated,
+)
 
 
 def ranking_order(table: GoldTable) -> list[Column]:
@@ -86,3 +94,67 @@ def upsert_gold(spark: SparkSession, batch: DataFrame, path: str, table: GoldTab
         .join(batch.select("flight_date").distinct(), "flight_date", "left_semi")
     )
     return write_gold(upsert(touched, batch, table.key), path, table)
+
+
+# Bucketed form ----------------------------------------------------------------------------
+
+# Buckets of one date. A date of a gold table has at most a row per airport pair.
+BUCKETS = 16
+# A target hashed by a part of the key need not be hashed again by all of it.
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+def bucketed(spark: SparkSession, path: str, table: GoldTable, buckets: int = BUCKETS) -> str:
+    """The name under which a bucketed target below `path` is known to the session.
+
+    It is partitioned by date, like other gold tables, and within a date hashed and sorted by the
+    rest of the key. Only the description is the session's; files stay where they are, and their
+    dates are looked up when a session first asks.
+    """
+    name = f"{table.name}_{sha256(f'{path}:{buckets}'.encode()).hexdigest()[:16]}"
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
+        keys = ", ".join(f"`{k}`" for k in table.key if k != "flight_date")
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (flight_date)"
+            f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS"
+            f" LOCATION '{path}'"
+        )
+        if exists(spark, path):
+            spark.catalog.recoverPartitions(name)
+    return name
+
+
+def bucketed_upsert(
+    spark: SparkSession, batch: DataFrame, path: str, table: GoldTable, buckets: int = BUCKETS
+) -> DataFrame:
+    """The rows of the batch's dates after an upsert. The target's buckets are read side by side
+    with the batch, which alone is shuffled, into as many partitions."""
+    name = bucketed(spark, path, table, buckets)
+    days = [r["flight_date"] for r in batch.select("flight_date").distinct().collect()]
+    target = spark.table(name).where(F.col("flight_date").isin(days))
+    return upsert(target.select(*table.schema.names), batch, table.key)
+
+
+def upsert_bucketed(
+    spark: SparkSession, batch: DataFrame, path: str, table: GoldTable, buckets: int = BUCKETS
+) -> None:
+    """Upsert a batch into a bucketed target, rewriting only the dates the batch touches.
+
+    As for `upsert_gold`, the batch should be a stored one. A target that is not there yet is
+    made. What is kept of the target stays in its buckets on the way from scan to write.
+    """
+    batch = enforce_schema(batch, table.schema)
+    require_unique(batch, table.key)
+    name = bucketed(spark, path, table, buckets)
+    # An insert into a named table takes its mode from the session.
+    with setting(spark, ALL_KEYS, "false"), setting(spark, OVERWRITE_MODE, "dynamic"):
+        rows = bucketed_upsert(spark, batch, path, table, buckets)
+        rows.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+
+
+def read_bucketed(
+    spark: SparkSession, path: str, table: GoldTable, buckets: int = BUCKETS
+) -> DataFrame:
+    return spark.table(bucketed(spark, path, table, buckets)).select(*table.schema.names)

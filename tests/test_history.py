@@ -125,3 +125,40 @@ def test_textual_dates_are_coerced(spark):
     found = [r[0] for r in traffic.coerce_flight_date(df).collect()]
     assert found == [D3, None, None]
     assert traffic.filter_date(traffic.coerce_flight_date(df), "2026-09-27").count() == 1
+
+
+def test_bucketed_upsert_equals_the_plain_one(spark, folder):
+    path = f"{folder}/target"
+    history.upsert_bucketed(spark, frame(spark, OLD), path, AIRPORT_TRAFFIC, 4)
+    assert rows(history.read_bucketed(spark, path, AIRPORT_TRAFFIC, 4)) == sorted(OLD)
+    before = {d: files(path, d) for d in (D1, D3)}
+    for _ in range(2):
+        history.upsert_bucketed(spark, frame(spark, NEW), path, AIRPORT_TRAFFIC, 4)
+        want = history.upsert(frame(spark, OLD), frame(spark, NEW), AIRPORT_TRAFFIC.key)
+        assert rows(history.read_bucketed(spark, path, AIRPORT_TRAFFIC, 4)) == rows(want)
+    assert {d: files(path, d) for d in (D1, D3)} == before
+    # Another session finds the table by its files.
+    spark.sql(f"DROP TABLE {history.bucketed(spark, path, AIRPORT_TRAFFIC, 4)}")
+    assert rows(history.read_bucketed(spark, path, AIRPORT_TRAFFIC, 4)) == rows(want)
+    with pytest.raises(ValueError, match="several rows"):
+        history.upsert_bucketed(spark, frame(spark, NEW + NEW), path, AIRPORT_TRAFFIC, 4)
+
+
+def test_the_bucketed_target_is_not_shuffled(spark, folder):
+    path = f"{folder}/target"
+    many = [airport(D1, f"A{i}", i) for i in range(500)]
+    history.upsert_bucketed(spark, frame(spark, many), path, AIRPORT_TRAFFIC, 4)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", history.ALL_KEYS)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set(history.ALL_KEYS, "false")
+    try:
+        batch = frame(spark, many[::2] + [airport(D1, "new", 1)])
+        result = history.bucketed_upsert(spark, batch, path, AIRPORT_TRAFFIC, 4)
+        plan = result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    scan = plan.index("FileScan parquet")
+    join = plan.index("LeftAnti")
+    assert "Exchange" not in plan[join:scan]
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -218,4 +218,34 @@ ORACLES: dict[str, str] = {
                CAST(sum(24 + length(role_line) + length(CASE WHEN hostile THEN escaped ELSE text END)) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    # Windows as texts: words hold no spaces, so equal texts are equal sequences of words.
+    "op10_substring": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ),
+        p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+        s AS (
+            SELECT doc_id, i, w[i] AS word,
+                   CASE WHEN i + 19 <= len(w) THEN array_to_string(w[i:i + 19], ' ') END AS run
+            FROM p
+        ),
+        r AS (
+            SELECT doc_id, i, word,
+                   run IS NOT NULL AND row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1 AS again
+            FROM s
+        ),
+        c AS (
+            SELECT doc_id, i, word,
+                   bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+            FROM r
+        ),
+        k AS (
+            SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+                   string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+            FROM c GROUP BY doc_id
+        )
+        SELECT d.doc_id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+    """,
 }

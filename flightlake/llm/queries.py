@@ -248,4 +248,91 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN k ON d.doc_id = k.doc_id
     """,
+    # A checksum in plain arithmetic, then the least (cost, audit) per place in the grammar, row by
+    # row: places are start, after the system turn, after a user, after an assistant.
+    "op13_repair": r"""
+        WITH RECURSIVE keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   list_transform(
+                       string_split(concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')), ''),
+                       lambda c: CAST(ascii(c) AS BIGINT)) AS bytes
+            FROM conversations
+        ),
+        marked AS (
+            SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, bytes), lambda crc, b:
+                       list_reduce(list_prepend(xor(crc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda c, z:
+                           CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))) % 20 AS mark
+            FROM keyed
+        ),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN mark = 4 THEN 'user' ELSE role END AS role,
+                   CASE mark WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE WHEN mark = 3 THEN [0, 1] ELSE [0] END) AS copy
+            FROM marked WHERE mark <> 0
+        ),
+        judged AS (
+            SELECT *, left(role, 1) AS initial,
+                   regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z', 1) AS final,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i
+            FROM damaged
+        ),
+        rows AS (
+            SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair,
+                   CASE WHEN final = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                        WHEN final NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+            FROM judged
+        ),
+        counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+            FROM rows GROUP BY conv_id
+        ),
+        inserts(place, k, there) AS (
+            VALUES (0, 0, 0), (0, 1, 2), (0, 2, 3), (1, 0, 1), (1, 1, 2), (1, 2, 3),
+                   (2, 0, 2), (2, 1, 3), (2, 2, 2), (3, 0, 3), (3, 1, 2), (3, 2, 3)
+        ),
+        edits(there, edit, needs, after, price) AS (
+            VALUES (0, 'D', '', 0, 3), (1, 'D', '', 1, 3), (2, 'D', '', 2, 3), (3, 'D', '', 3, 3),
+                   (0, 'K', 's', 1, 0), (0, 'K', 'u', 2, 0), (1, 'K', 'u', 2, 0), (2, 'K', 'a', 3, 0), (3, 'K', 'u', 2, 0),
+                   (0, 'R', '', 2, 2), (1, 'R', '', 2, 2), (2, 'R', '', 3, 2), (3, 'R', '', 2, 2)
+        ),
+        walk AS (
+            SELECT conv_id, 0::BIGINT AS i, 0 AS place, {'cost': 0, 'audit': ''} AS best FROM counted
+            UNION ALL
+            SELECT w.conv_id, r.i, e.after,
+                   min({'cost': w.best.cost + 2 * s.k + e.price + CASE WHEN e.edit <> 'D' AND r.fault = 'truncated' THEN 1 ELSE 0 END,
+                        'audit': w.best.audit || repeat('I', s.k) || e.edit})
+            FROM walk w JOIN rows r ON r.conv_id = w.conv_id AND r.i = w.i + 1
+            JOIN inserts s ON s.place = w.place JOIN edits e ON e.there = s.there
+            WHERE (e.needs = '' OR e.needs = r.initial) AND (e.edit = 'D' OR r.fault IN ('', 'truncated'))
+            GROUP BY w.conv_id, r.i, e.after
+        ),
+        solved AS (
+            SELECT c.conv_id, min({'cost': w.best.cost + 2 * s.k, 'audit': w.best.audit || repeat('I', s.k)}) AS best
+            FROM counted c JOIN walk w ON w.conv_id = c.conv_id AND w.i = c.n JOIN inserts s ON s.place = w.place
+            WHERE s.there IN (0, 3) GROUP BY c.conv_id
+        ),
+        steps AS (
+            SELECT conv_id, edit, pos, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY pos) AS i,
+                   count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id ORDER BY pos) AS q,
+                   count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id) % 2 AS odd
+            FROM (SELECT conv_id, unnest(string_split(best.audit, '')) AS edit, generate_subscripts(string_split(best.audit, ''), 1) AS pos
+                  FROM solved WHERE best.audit <> '')
+        ),
+        repaired AS (
+            SELECT t.conv_id, string_agg(
+                       CASE WHEN edit = 'K' THEN r.role WHEN (q - 1 - odd) % 2 = 0 THEN 'user' ELSE 'assistant' END
+                       || ':' || CASE WHEN edit = 'I' THEN '' ELSE r.text END, chr(10) ORDER BY pos) AS turns
+            FROM steps t LEFT JOIN rows r ON r.conv_id = t.conv_id AND r.i = t.i
+            WHERE edit <> 'D' GROUP BY t.conv_id
+        )
+        SELECT c.conv_id AS conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+               coalesce(best.audit, '') AS audit, sha256(coalesce(turns, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c
+        LEFT JOIN counted USING (conv_id) LEFT JOIN solved USING (conv_id) LEFT JOIN repaired USING (conv_id)
+    """,
 }

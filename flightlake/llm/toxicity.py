@@ -160,21 +160,28 @@ def fit_ordinal(x: np.ndarray | Sparse, grade: np.ndarray, grades: int) -> tuple
     return params[: x.shape[1]], raw[0] + np.concatenate([[0.0], np.cumsum(np.exp(raw[1:]))])
 
 
+def grades_of(evidence: np.ndarray, grades: int) -> np.ndarray:
+    """Grades from 1 of toxic documents, in parts of about equal size by evidence. Documents of
+    equal evidence have one grade, that of the first of them."""
+    below = np.searchsorted(np.sort(evidence), evidence)
+    return 1 + below * (grades - 1) // len(evidence)
+
+
 def fit_arrays(
     features: np.ndarray, x: Sparse, toxic: np.ndarray, grades: int = GRADES
 ) -> Model:
     """Fit on documents by their feature values (a row each) and whether they are toxic.
 
-    Labels only say whether a document is toxic. The grades above 0 are its toxic documents in
-    `grades - 1` parts of about equal size, by the evidence in them: the sum of their values.
+    Labels only say whether a document is toxic, so severity is a proxy: how much of what tells
+    toxic documents stands in a text. The grades above 0 are the toxic documents in `grades - 1`
+    parts of about equal size, by the sum of their values.
     """
     n1 = int(toxic.sum())
     if n1 == 0 or n1 == len(toxic) or len(features) == 0:
         # Nothing to tell apart: thresholds that no text without evidence passes.
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.arange(1.0, grades) * 30)
     grade = np.zeros(len(x), np.int64)
-    order = np.flatnonzero(toxic)[np.argsort((x @ np.ones(len(features)))[toxic], kind="stable")]
-    grade[order] = 1 + np.arange(n1) * (grades - 1) // n1
+    grade[toxic] = grades_of((x @ np.ones(len(features)))[toxic], grades)
     scale = np.maximum(x.std(), 1e-9)
     weights, thresholds = fit_ordinal(x.over(scale), grade, grades)
     return Model(features, weights / scale, thresholds)

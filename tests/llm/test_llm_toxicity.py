@@ -111,3 +111,9 @@ def test_a_small_table_of_labels_is_enough_for_a_perfect_word(spark):
     labels = docs.select("doc_id", (F.col("doc_id") < 6).cast("int").alias("toxic"))
     got = toxicity.grade(docs, toxicity.fit(docs, labels)).collect()
     assert all(r.toxic == (r.doc_id < 6) for r in got)
+
+
+def test_equal_evidence_has_one_grade():
+    assert toxicity.grades_of(np.array([5.0, 1, 1, 1, 9, 1]), 4).tolist() == [3, 1, 1, 1, 3, 1]
+    assert toxicity.grades_of(np.arange(9.0)[::-1], 4).tolist() == [3, 3, 3, 2, 2, 2, 1, 1, 1]
+    assert toxicity.grades_of(np.ones(5), 4).tolist() == [1] * 5

@@ -1,4 +1,5 @@
 import base64
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -111,3 +112,49 @@ def test_one_outlier_sets_no_floor_and_empty_classes_have_one():
     assert floors[10] == floors[11] == floors[40] == 0.5 * langid.SLACK
     assert floors[8] == floors[10] / 2 and floors[0] == 0
     assert not langid.floors(np.zeros_like(seen)).any()
+
+
+def cosine(counts, idf, centroid):
+    """Term by term, over the buckets that occur."""
+    weights = {b: math.sqrt(c) * float(idf[b]) for b, c in enumerate(counts) if c}
+    length = math.sqrt(sum(w * w for w in weights.values()))
+    return sum(w * float(centroid[b]) for b, w in weights.items()) / length if length else 0.0
+
+
+def test_predictions_match_a_plain_search_of_centroids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(docs, F.col("doc_id") % 3 != 0, sample=60)
+    some = docs.filter("doc_id % 40 = 0")
+    odd = plain.documents(spark, ["Съешь ещё этих мягких французских булок", "a", "7"], ids=[-1, -2, -3])
+    asked = some.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    for row in langid.identify(asked, model).collect():
+        if not any(map(str.isalpha, row.text)):
+            assert (row.lang_pred, row.score, row.rejected) == ("und", 0.0, True)
+            continue
+        # One text by itself has no space after its end; see the counts' own test.
+        counts = langid.gram_counts(pa.array([row.text], pa.string()))[0]
+        near = [cosine(counts, model.idf, c) for c in model.centroids]
+        best = max(range(len(near)), key=lambda i: (near[i], -i))
+        assert abs(row.score - min(1, max(0, near[best]))) < 1e-4
+        same = {model.languages[i] for i in range(len(near)) if near[i] > near[best] - 1e-4}
+        assert row.lang_pred in same
+        floor = model.floors[int(math.log2(max(1, counts.sum())))]
+        assert row.rejected == (row.score < floor) or abs(row.score - floor) < 1e-4
+
+
+def test_a_centroid_is_the_mean_direction_of_its_documents():
+    """With one centroid per language, the fit is a mean that can be written down."""
+    texts = ["der hund und die katze", "die katze und der hund", "the dog and the cat", "a cat and a dog"]
+    counts = langid.gram_counts(pa.array(texts))
+    languages = np.array(["de", "de", "en", "en"], object)
+    model = langid.fit_arrays(counts, languages, 1)
+    for b in range(langid.BUCKETS):
+        seen = sum(1 for row in counts if row[b])
+        assert abs(model.idf[b] - (math.log(5 / (1 + seen)) + 1)) < 1e-5
+    for name, centroid in zip(model.languages, model.centroids, strict=True):
+        total = np.zeros(langid.BUCKETS)
+        for row, language in zip(counts, languages, strict=True):
+            if language == name:
+                vector = np.sqrt(row) * model.idf
+                total += vector / math.sqrt(float((vector**2).sum()))
+        assert np.abs(centroid - total / math.sqrt(float((total**2).sum()))).max() < 1e-5

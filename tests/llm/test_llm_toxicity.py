@@ -117,3 +117,43 @@ def test_equal_evidence_has_one_grade():
     assert toxicity.grades_of(np.array([5.0, 1, 1, 1, 9, 1]), 4).tolist() == [3, 1, 1, 1, 3, 1]
     assert toxicity.grades_of(np.arange(9.0)[::-1], 4).tolist() == [3, 3, 3, 2, 2, 2, 1, 1, 1]
     assert toxicity.grades_of(np.ones(5), 4).tolist() == [1] * 5
+
+
+def test_severity_matches_plain_sums_over_thresholds(judged, spark):
+    """Scores feature by feature, probabilities threshold by threshold."""
+    import math
+
+    rng = np.random.default_rng(5)
+    words = ["alpha", "beta", "gamma", "delta", "epsilon"]
+    hashes = {}
+    for word in words:
+        data = np.frombuffer(word.encode(), np.uint8)
+        hashes[word] = toxicity_words(data)
+    order = sorted(words, key=hashes.__getitem__)
+    features = np.array([hashes[w] for w in order], np.uint64)
+    weights = rng.normal(size=len(words))
+    model = toxicity.Model(features, weights, np.array([0.2, 1.0, 2.5]))
+    texts = ["alpha beta", "gamma gamma other", "", None, "delta " * 40, "nothing known"]
+    got = {r.doc_id: r for r in toxicity.grade(plain.documents(spark, texts), model).collect()}
+    scores = toxicity.score_texts(pa.array(texts, pa.string()), model)
+    for i, text in enumerate(texts):
+        found = (text or "").split()
+        want = 0.0
+        for weight, word in zip(weights, order, strict=True):
+            n = found.count(word)
+            if n:
+                value = toxicity.values_of(np.array([n]), np.array([len(found)]))[0]
+                want += weight * value
+        assert abs(scores[i] - want) < 1e-9
+        over = [1 / (1 + math.exp(t - want)) for t in model.thresholds]
+        steps = [1.0, *over, 0.0]
+        shares = [a - b for a, b in zip(steps, steps[1:], strict=False)]
+        assert abs(got[i].severity - sum(over)) < 1e-9
+        assert got[i].grade == shares.index(max(shares))
+        assert got[i].toxic == (over[0] > 0.5)
+
+
+def toxicity_words(data):
+    from flightlake.llm.common import Words
+
+    return int(Words(data, np.array([0, len(data)])).hashes()[0])

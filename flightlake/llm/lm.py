@@ -103,26 +103,73 @@ def own_counts(docs: pa.Table, grams: Grams) -> np.ndarray:
     return counts
 
 
+def _asked(block: int, shards: int, keys: np.ndarray, orders: np.ndarray, counts: np.ndarray) -> pa.Table:
+    """A block's n-grams with their counts, by ranges of fingerprints."""
+    cuts = by_range(keys, shards)
+    parts = list(zip(cuts[:-1], cuts[1:], strict=True))
+    return pa.table(
+        {
+            "shard": pa.array(np.arange(shards, dtype=np.int32)),
+            "block": pa.array(np.full(shards, block, np.int64)),
+            "grams": pa.array([pack_sorted(keys[a:b]) for a, b in parts], pa.binary()),
+            "orders": pa.array([pack_small(orders[a:b]) for a, b in parts], pa.binary()),
+            "counts": pa.array([pack_small(counts[a:b]) for a, b in parts], pa.binary()),
+        }
+    )
+
+
 def _request(order: int, shards: int):
+    """The first round: all n-grams but those of the full order."""
+
     def request(docs: pa.Table) -> pa.Table:
         docs = docs.combine_chunks()
-        grams = read_grams(docs.column("text").combine_chunks(), order)
+        grams = read_grams(docs.column("text").combine_chunks(), max(1, order - 1))
         counts = own_counts(docs, grams)
-        cuts = by_range(grams.keys, shards)
-        parts = list(zip(cuts[:-1], cuts[1:], strict=True))
-        return pa.table(
-            {
-                "shard": pa.array(np.arange(shards, dtype=np.int32)),
-                "block": pa.array(np.full(shards, docs.column("block")[0].as_py(), np.int64)),
-                "grams": pa.array([pack_sorted(grams.keys[a:b]) for a, b in parts], pa.binary()),
-                "orders": pa.array([pack_small(grams.order[a:b]) for a, b in parts], pa.binary()),
-                "counts": pa.array([pack_small(counts[a:b]) for a, b in parts], pa.binary()),
-            }
-        )
+        return _asked(docs.column("block")[0].as_py(), shards, grams.keys, grams.order, counts)
+
+    return request
+
+
+def _request_longest(order: int, shards: int):
+    """The second round: n-grams of the full order that another block can have."""
+
+    def request(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        docs = docs.combine_chunks()
+        if docs.num_rows == 0:
+            return _asked(0, shards, *np.zeros((3, 0), np.int64)).slice(0, 0)
+        grams = read_grams(docs.column("text").combine_chunks(), order)
+        ids = sharable(grams, _first_round(grams, answers))
+        counts = own_counts(docs, grams)[ids]
+        block = docs.column("block")[0].as_py()
+        return _asked(block, shards, grams.keys[ids], grams.order[ids], counts)
 
     return request
 
 
+def _told(answers: pa.Table) -> np.ndarray:
+    """The counts answered to a block, in the order of its request."""
+    ranked = np.argsort(np.asarray(answers.column("shard")))
+    packed = answers.column("counts").to_pylist()
+    return np.concatenate([unpack_small(packed[i]) for i in ranked])
+
+
+def _first_round(grams: Grams, answers: pa.Table) -> np.ndarray:
+    """The counts of the first round, zero for n-grams that were not asked for."""
+    counts = np.zeros(len(grams.keys), np.int64)
+    counts[grams.order < max(2, len(grams.at))] = _told(answers)
+    return counts
+
+
+def sharable(grams: Grams, answered: np.ndarray) -> np.ndarray:
+    """The n-grams of the full order that training text of another block can hold: those of which
+    both shorter n-grams were answered. Of others the block's own count is all there is."""
+    most = len(grams.at)
+    ids = np.flatnonzero(grams.order == most)
+    ends = grams.first[ids]
+    shorter = grams.at[most - 2]
+    return ids[(answered[shorter[ends - 1]] > 0) & (answered[shorter[ends]] > 0)]
+
+
 def _answer(requests: pa.Table) -> pa.Table:
     """Counts over all blocks, for each block in the order of its request; 0 for n-grams no other
     block asked for, the count of which the block knows."""
@@ -257,9 +304,10 @@ def _scorer(order: int, prior: float, kept: list[str], schema: pa.Schema):
         if docs.num_rows == 0:
             return schema.empty_table()
         grams = read_grams(docs.column("text").combine_chunks(), order)
-        ranked = np.argsort(np.asarray(answers.column("shard")))
-        packed = answers.column("counts").to_pylist()
-        counts = np.concatenate([unpack_small(packed[i]) for i in ranked])
+        level = np.asarray(answers.column("level"))
+        counts = _first_round(grams, answers.filter(pa.array(level == 1)))
+        if order > 1:
+            counts[sharable(grams, counts)] = _told(answers.filter(pa.array(level == 2)))
         counts = np.maximum(counts, own_counts(docs, grams))
         n, kinds = (int(np.asarray(answers.column(c)).sum()) for c in ("tokens", "kinds"))
         automaton = build(grams, counts, n, kinds, prior)
@@ -297,9 +345,11 @@ def score(
     Learns from the rows where `learn` holds and scores all rows, whole. Documents are dealt
     into blocks by a hash. A block counts its own n-grams and asks for their counts everywhere;
     the requests meet by ranges of n-gram fingerprints (64 bits), are added up and answered
-    where several blocks ask; then the block builds the automaton of its n-grams and reads its texts through it. So no
-    task holds more than a block or a range of n-grams, and a frequent n-gram is one entry per
-    block. Nothing is cut off.
+    where several blocks ask. N-grams of the full order are asked for in a second round, and only
+    if both shorter n-grams in them came back with a count: else no other block's training text
+    holds them, and the block's own count is exact. Then the block builds the automaton of its
+    n-grams and reads its texts through it. So no task holds more than a block or a range of
+    n-grams, and a frequent n-gram is one entry per block. Nothing is cut off.
 
     Null or empty text is just the end token. Repeated rows each count and get equal scores.
     Without anything to learn from, N and V are 0 and every token has probability 1. An empty
@@ -318,18 +368,23 @@ def score(
         text_or_empty(text).alias("text"),
         F.pmod(F.xxhash64(*names), F.lit(blocks)).alias("block"),
     )
-    answers = (
-        dealt.groupBy("block")
-        .applyInArrow(frugal(_request(order, shards)), _REQUEST)
-        .groupBy("shard")
-        .applyInArrow(frugal(_answer), _ANSWER)
-    )
+    by_block = dealt.groupBy("block")
+
+    def answered(requests: DataFrame, level: int) -> DataFrame:
+        told = requests.groupBy("shard").applyInArrow(frugal(_answer), _ANSWER)
+        return told.withColumn("level", F.lit(level))
+
+    answers = first = answered(by_block.applyInArrow(frugal(_request(order, shards)), _REQUEST), 1)
+    if order > 1:
+        longest = by_block.cogroup(first.groupBy("block")).applyInArrow(
+            frugal(_request_longest(order, shards)), _REQUEST
+        )
+        answers = first.unionByName(answered(longest, 2))
     fields = [T.StructField(n, docs.schema[c].dataType) for c, n in inner.items()]
     schema = T.StructType([*fields, *[T.StructField(n, k) for n, k in _ADDED_COLUMNS]])
     empty = docs.sparkSession.createDataFrame([], schema).toArrow().schema
     scored = (
-        dealt.groupBy("block")
-        .cogroup(answers.groupBy("block"))
+        by_block.cogroup(answers.groupBy("block"))
         .applyInArrow(frugal(_scorer(order, prior, list(inner.values()), empty)), schema)
     )
     return scored.select(*[F.col(n).alias(c) for c, n in inner.items()], *added)

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,8 +26,9 @@ TASK_BYTES = 16 << 20
 MOST_BROADCAST = 100_000
 # A class is frequent if its tokens stand in this share of the host's distinct pages.
 SUPPORT = 0.5
-# Of groups with so many pages, tokens on a single page of the group are not counted for the host.
-FEW_PAGES = 16
+# A group first tells of tokens on this share of its pages. What it keeps to itself is rarer there,
+# which bounds how often a token can stand on the host.
+TOLD = SUPPORT / 2
 # Of a slot with more than this share of its text in links, nothing is taken.
 LINK_SHARE = 0.5
 
@@ -637,20 +638,21 @@ def _heading(slot: Slot) -> bool:
     return re.match(r"h[1-6]\b", slot.label) is not None
 
 
-def votes(sources: list[str], marks: list[int]) -> list[tuple[str, bool, Vector]]:
+def votes(sources: list[str], marks: list[int], asked: frozenset[str] | None = None) -> list[tuple[str, bool, Vector]]:
     """What a group adds to its host's vectors: fingerprint, whether a start tag, and vector.
 
-    The first row is that of all pages. In a group of many pages, tokens on one of them only are
-    left out: those of equal vectors alike, so that classes stay what they are.
+    Those of all tokens asked for or, unless some are, of those on TOLD of the group's pages. The
+    first row is then that of all pages.
     """
     top = Node(None, "", "")
     pages = {s: (parse(s, top), m) for s, m in zip(sources, marks, strict=True)}
     found, every = occurrences([p for p, _ in pages.values()], [m for _, m in pages.values()])
-    least = 2 if every.n_pages >= FEW_PAGES else 1
-    rows = [("", False, every)]
+    rows = [("", False, every)] if asked is None else []
     for token, vector in found.items():
-        if vector.n_pages >= least:
-            rows.append((token_print(token), isinstance(token, Node), vector))
+        if asked is not None or vector.n_pages >= TOLD * every.n_pages:
+            name = token_print(token)
+            if asked is None or name in asked:
+                rows.append((name, isinstance(token, Node), vector))
     return rows
 
 
@@ -705,8 +707,9 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", page_id: str
     """The pages with text (the main text; empty if none) and n_chars, without their html.
 
     Pages are grouped by host; a host with more than GROUP_BYTES of html is dealt into several
-    groups by a hash, so no group grows with the host. Its groups count tokens, Spark adds the
-    counts up, and all groups get the host's frequent tokens. On a host, tokens (start tags and texts with their paths) that occur equally
+    groups by a hash, so no group grows with the host. Its groups tell the tokens that are common in
+    them, Spark adds the counts up, those that may be frequent on the host are counted in the groups
+    that did not tell, and all groups get the host's frequent tokens, with counts over all pages. On a host, tokens (start tags and texts with their paths) that occur equally
     often on every page form classes, and valid classes nest into the template. The texts left
     are its slots. Slots in menus, headers, footers, sidebars, notices, adverts, forms and
     comments go, unless only a class word says so and the element holds the article or most of
@@ -767,49 +770,86 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", page_id: str
     )
     arrow = pages.sparkSession.createDataFrame([], schema).toArrow().schema
 
-    def vote(group: pa.Table) -> pa.Table:
-        rows = []
-        if group.column("parts")[0].as_py() is not None:
-            group = group.filter(group.column("counts"))
-            rows = votes(group.column("html").to_pylist(), group.column("page").to_pylist())
-        host, parts = ([group.column(c)[0].as_py()] * len(rows) if rows and len(group) else [] for c in ("host", "parts"))
-        rows = rows[: len(host)]
-        columns = [host, parts, [r[0] for r in rows], [r[1] for r in rows]]
-        columns += [[getattr(r[2], c) for r in rows] for c in ("n_pages", "where", "numbers", "once")]
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ballot, strict=True)], schema=ballot)
-
     ballot = pa.schema(
         [
-            ("host", pa.string()), ("parts", pa.int64()), ("token", pa.string()), ("element", pa.bool_()),
-            ("n_pages", pa.int64()), ("where", pa.int64()), ("numbers", pa.int64()), ("once", pa.bool_()),
+            ("host", pa.string()), ("parts", pa.int64()), ("heard", pa.int64()), ("all_pages", pa.int64()),
+            ("token", pa.string()), ("element", pa.bool_()), ("n_pages", pa.int64()),
+            ("where", pa.int64()), ("numbers", pa.int64()), ("once", pa.bool_()),
         ]
     )
-    cast = "host string, parts long, token string, element boolean, n_pages long, where long, numbers long, once boolean"
-    counted = (
-        grouped.groupBy("host", "part")
-        .applyInArrow(vote, cast)
-        .groupBy("host", "token")
-        .agg(
+    cast = (
+        "host string, parts long, heard long, all_pages long, token string, element boolean, n_pages long,"
+        " where long, numbers long, once boolean"
+    )
+
+    def cast_votes(host: str, parts: int, heard: int, all_pages: int, rows: list[tuple[str, bool, Vector]]) -> pa.Table:
+        columns = [[x] * len(rows) for x in (host, parts, heard, all_pages)]
+        columns += [[r[0] for r in rows], [r[1] for r in rows]]
+        columns += [[getattr(r[2], c) for r in rows] for c in ("n_pages", "where", "numbers", "once")]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ballot, strict=True)], schema=ballot)
+
+    def vote(group: pa.Table) -> pa.Table:
+        """The first round: what is common in the group."""
+        host, parts = (group.column(c)[0].as_py() for c in ("host", "parts"))
+        group = group.filter(group.column("counts"))
+        if parts is None or not len(group):
+            return ballot.empty_table()
+        rows = votes(group.column("html").to_pylist(), group.column("page").to_pylist())
+        return cast_votes(host, parts, rows[0][2].n_pages, 0, rows)
+
+    def recount(group: pa.Table, told: pa.Table) -> pa.Table:
+        """The second round: tokens that not all groups told of, in all groups; the first group
+        passes the others on."""
+        if told.num_rows == 0:
+            return ballot.empty_table()
+        first = told.column("part")[0].as_py() == 0
+        host, parts, all_pages = (told.column(c)[0].as_py() for c in ("host", "parts", "all_pages"))
+        tokens = told.column("tokens")[0].as_py()
+        rows = [
+            (r["token"], r["element"], Vector(r["n_pages"], r["where"], r["numbers"], r["once"]))
+            for r in tokens if first and r["heard"] == all_pages
+        ]
+        asked = frozenset(r["token"] for r in tokens if r["heard"] < all_pages)
+        if asked and group.num_rows:
+            group = group.filter(group.column("counts"))
+            rows += votes(group.column("html").to_pylist(), group.column("page").to_pylist(), asked)
+        return cast_votes(host, parts, 0, all_pages, rows)
+
+    def added(ballots: DataFrame) -> DataFrame:
+        return ballots.groupBy("host", "token").agg(
             F.max("parts").alias("parts"),
+            F.sum("heard").alias("heard"),
+            F.max("all_pages").alias("all_pages"),
             F.bool_or("element").alias("element"),
             F.sum("n_pages").alias("n_pages"),
             F.bit_xor("where").alias("where"),
             F.bit_xor("numbers").alias("numbers"),
             F.bool_and("once").alias("once"),
         )
-    )
-    # The frequent tokens of a host are at most 1 / SUPPORT times those of its average page.
-    every = counted.filter("token = ''").select("host", F.col("n_pages").alias("all_pages"))
-    tokens = (
-        counted.join(small(every), "host")
-        .filter(F.col("n_pages") >= SUPPORT * F.col("all_pages"))
-        .groupBy("host")
-        .agg(
-            F.max("parts").alias("parts"),
-            F.collect_list(F.struct("token", "element", "n_pages", "where", "numbers", "once")).alias("tokens"),
+
+    def for_each_part(counted: DataFrame) -> DataFrame:
+        names = ("token", "element", "heard", "n_pages", "where", "numbers", "once")
+        return (
+            counted.groupBy("host")
+            .agg(
+                F.max("parts").alias("parts"),
+                F.max("all_pages").alias("all_pages"),
+                F.collect_list(F.struct(*names)).alias("tokens"),
+            )
+            .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         )
-        .select("host", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "tokens")
-    )
+
+    by_part = grouped.groupBy("host", "part")
+    # A token that is frequent on the host stands on SUPPORT of its pages at most as counted so
+    # far and on less than TOLD of those of the groups that did not tell. So the tokens left are at
+    # most 1 / TOLD times those of the host's average page.
+    on_host = F.max(F.when(F.col("token") == "", F.col("n_pages"))).over(Window.partitionBy("host"))
+    heard = added(by_part.applyInArrow(vote, cast)).withColumn("all_pages", on_host)
+    at_most = F.col("n_pages") + TOLD * (F.col("all_pages") - F.col("heard"))
+    told = for_each_part(heard.filter(at_most >= SUPPORT * F.col("all_pages")))
+    counted = added(by_part.cogroup(told.groupBy("host", "part")).applyInArrow(recount, cast))
+    # The frequent tokens of a host are at most 1 / SUPPORT times those of its average page.
+    tokens = for_each_part(counted.filter(F.col("n_pages") >= SUPPORT * F.col("all_pages")))
 
     def work(group: pa.Table, template: pa.Table) -> pa.Table:
         if group.num_rows == 0:
@@ -824,5 +864,5 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", page_id: str
         columns += [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
         return pa.Table.from_arrays(columns, schema=arrow)
 
-    found = grouped.groupBy("host", "part").cogroup(tokens.groupBy("host", "part")).applyInArrow(work, schema)
+    found = by_part.cogroup(tokens.groupBy("host", "part")).applyInArrow(work, schema)
     return found.select(*[F.col(n).alias(c) for c, n in inner.items()], *out)

@@ -303,3 +303,43 @@ def test_random_hosts_without_marked_parts(seed):
 
     found = {frozenset(map(named, tokens)) for tokens in pages.equivalence_classes(parsed).values()}
     assert found == plain_classes(sources)
+
+
+@pytest.mark.parametrize("dealt", [False, True])
+def test_a_token_counts_on_a_single_page_of_a_group(spark, monkeypatch, dealt):
+    """A line on all pages of the layout but one, the only one of its group, is no template."""
+    layout = "<body><nav>Home</nav><article><p>{}</p><h4>Share this</h4></article><footer>End</footer></body>"
+    plain = "<i>{}</i>"
+    told = [" ".join(f"own{i}x{k}" for k in range(20)) for i in range(200)]
+    sources = [layout.format(t) for t in told]
+    part = {
+        r.html: r.part
+        for r in spark.createDataFrame([(x,) for t, x in zip(told, sources) for x in (x, plain.format(t))], "html string")
+        .select("html", F.pmod(F.xxhash64("html"), F.lit(2)).alias("part"))
+        .collect()
+    }
+    common = [x for x in sources if part[x] == 1][:40]
+    other = [x for t in told if part[x := plain.format(t)] == 0][:19]
+    # Like the others, but for the line.
+    lonely = [layout.replace("<h4>Share this</h4>", "").format(t) for t in told]
+    found = spark.createDataFrame([(x,) for x in lonely], "html string")
+    lonely = found.filter(F.pmod(F.xxhash64("html"), F.lit(2)) == 0).first().html
+    every = [*common, *other, lonely]
+    assert len(common) == 40 and len(other) == 19
+    total = sum(map(len, every))
+    monkeypatch.setattr(pages, "GROUP_BYTES", -(-total // 2) if dealt else total)
+    rows = [(i, "https://long.example/", x) for i, x in enumerate(every)]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(got[i].endswith(" Share this") for i in range(40))
+    assert not got[59].endswith("Share this")
+
+
+def test_votes_of_groups_add_up_to_those_of_the_host():
+    bodies = [f"<p>own {i}</p>" + "<b>seen</b>" * (i == 0 or i >= 20) for i in range(60)]
+    groups = [range(20), range(20, 60)]
+    asked = frozenset(pages.token_print(t) for t in pages.occurrences([pages.parse(bodies[0], pages.Node(None, "", ""))], [0])[0])
+    whole = {x[0]: x[2] for x in pages.votes(bodies, list(range(60)), asked)}
+    assert sorted(v.n_pages for v in whole.values()) == [1, 41, 41, 60]
+    parts = [{x[0]: x[2] for x in pages.votes([bodies[i] for i in g], list(g), asked)} for g in groups]
+    for name, vector in whole.items():
+        assert vector == (parts[0][name] + parts[1][name] if name in parts[1] else parts[0][name])

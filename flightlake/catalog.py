@@ -395,7 +395,7 @@ def _bronze_of_delivery(lake: Lakehouse, batch: str) -> DataFrame:
         F.col("row_order.o_orderkey").cast("long").alias("block"),
         (F.shiftleft(line, 40) + F.col("row_order.l_partkey")).alias("id"),
     )
-    some = lake.bronze.where(F.col("bronze_file") == batch)
+    some = testdata.bronze_flights(lake.spark, lake.sf_dir, batch)
     return some.withColumn("row_order", order)
 
 

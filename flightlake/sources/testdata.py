@@ -31,12 +31,12 @@ def _day_seconds(ts: str) -> Column:
     return F.unix_date(F.to_date(ts)).cast("long") * 86400
 
 
-def bronze_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze columns plus lineage and row order.
+def bronze_flights(spark: SparkSession, sf_dir: str, batch: str | None = None) -> DataFrame:
+    """Bronze columns plus lineage and row order, of both deliveries or of the one named.
 
     Customers join the orders before the far larger lines do, so lines are shuffled once, by
     order. The second delivery of a line is made by exploding it after the joins, so every
-    table is scanned and joined once. The lines of a file with fewer splits than there are cores
+    table is scanned and joined once; alone, it takes only its own lines through the joins. The lines of a file with fewer splits than there are cores
     are dealt out before the joins, so that cleaning uses every core; a large table never is.
     """
     nation = table(spark, sf_dir, "nation")
@@ -55,6 +55,8 @@ def bronze_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     if leaves_cores_idle(lines):
         cores = spark.sparkContext.defaultParallelism
         lines = lines.repartition(cores, "l_orderkey", "l_linenumber")
+    if batch == "b":
+        lines = lines.where(F.col("l_linenumber") == 3)
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         supplier_nation, F.col("l_suppkey") == F.col("s_suppkey")
     )
@@ -62,7 +64,10 @@ def bronze_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     heavy = F.col("l_quantity") > 45
     twice = F.array(F.lit("a"), F.lit("b"))
     once = F.array(F.lit("a"))
-    delivered = joined.withColumn("batch", F.explode(F.when(line == 3, twice).otherwise(once)))
+    delivered = joined.withColumn(
+        "batch",
+        F.explode(F.when(line == 3, twice).otherwise(once)) if batch is None else F.lit(batch),
+    )
     columns = {
         "icao24": F.concat(F.lit(" ac"), F.lpad(_text(F.col("l_suppkey")), 6, "0"), F.lit(" ")),
         "first_seen": _text(_day_seconds("o_orderdate") + line * 5400),

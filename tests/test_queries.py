@@ -5,11 +5,13 @@ import subprocess
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 import compare
 from flightlake import catalog
 from flightlake.operators import history
+from flightlake.sources import testdata
 
 SF = "/root/testdata/sf0.001"
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -62,3 +64,14 @@ def test_the_data_model_stands_without_the_training_operators():
         "assert set(e.queries()) == set(e.oracle_sql()) == set(catalog.QUERIES)"
     )
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
+
+
+def test_a_delivery_is_read_without_the_lines_of_the_other(spark):
+    both = testdata.bronze_flights(spark, "/root/testdata/sf0.001")
+    for batch in ("a", "b"):
+        alone = testdata.bronze_flights(spark, "/root/testdata/sf0.001", batch)
+        wanted = both.where(F.col("bronze_file") == batch)
+        assert alone.exceptAll(wanted).isEmpty() and wanted.exceptAll(alone).isEmpty()
+        plan = alone._jdf.queryExecution().executedPlan().toString()
+        assert "Generate" not in plan
+        assert ("EqualTo(l_linenumber,3)" in plan) == (batch == "b")

@@ -33,6 +33,8 @@ def number_aircraft(flights: DataFrame, known: DataFrame | None = None) -> DataF
         highest = known.agg(F.coalesce(F.max("aircraft_id"), F.lit(0)).alias("last"))
         last = highest.scalar()
     grouped = aircraft.withColumn("part", F.pmod(F.xxhash64("icao24"), F.lit(NUMBER_GROUPS)))
+    # The join asks for this; asked for here, starts and places are made of one and the same shuffle.
+    grouped = grouped.where(F.col("part").isNotNull())
     # A row per group, NUMBER_GROUPS at most.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = grouped.groupBy("part").agg(F.count("*").alias("n"))
@@ -49,14 +51,21 @@ def daily_bitmaps(enriched: DataFrame, numbers: DataFrame, dimension: str) -> Da
     """Per date and airport or country the aircraft seen at either end, as bitmaps.
 
     Flights are folded to one row per date, group and aircraft before they get numbers, so a busy
-    airport or aircraft is small by then. A bucket holds 32,768 numbers.
+    airport or aircraft is small by then. A bucket holds 32,768 numbers. The numbers of a bucket
+    meet before its bitmap is made: a bitmap has its full size from the first number on, so one
+    per task and bucket would outgrow the flights.
     """
     keys = ["flight_date", dimension]
     seen = movements(enriched).where(all_known([*keys, "icao24"])).select(*keys, "icao24").distinct()
+    placed = seen.join(numbers, "icao24").select(
+        *keys,
+        F.bitmap_bucket_number("aircraft_id").alias("bucket"),
+        F.bitmap_bit_position("aircraft_id").alias("position"),
+    )
     return (
-        seen.join(numbers, "icao24")
-        .groupBy(*keys, F.bitmap_bucket_number("aircraft_id").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("aircraft_id")).alias("bits"))
+        placed.repartition(*keys, "bucket")
+        .groupBy(*keys, "bucket")
+        .agg(F.bitmap_construct_agg("position").alias("bits"))
     )
 
 

@@ -122,3 +122,11 @@ def test_dates_of_deliveries_are_read_from_their_own_folders(spark, folder):
     assert [r.icao24 for r in read.collect()] == ["1"]
     assert len(read.inputFiles()) == 1
     assert "WindowGroupLimit" in plan(read)
+
+
+def test_bitmaps_are_made_where_their_numbers_meet(lake):
+    from flightlake.operators import uniques
+
+    text = plan(uniques.daily_bitmaps(lake.enriched, uniques.number_aircraft(lake.silver), "airport"))
+    made = text[: text.index("Exchange")]
+    assert made.count("bitmap_construct_agg") >= 2 and "REPARTITION_BY_COL" in text

@@ -367,9 +367,17 @@ def _upserted(gold: DataFrame, table) -> DataFrame:
 # Stored -----------------------------------------------------------------------------------
 
 
+def _made_once(lake: Lakehouse, gold: DataFrame) -> DataFrame:
+    """Gold stored as it is, for queries that write more than one table from it."""
+    path = lake.folder()
+    gold.write.parquet(path)
+    return lake.spark.read.schema(gold.schema).parquet(path)
+
+
 def _stored_replaced(lake: Lakehouse, gold: DataFrame, table) -> DataFrame:
     """What `_replaced` gives, by way of the stored table."""
     path = lake.folder()
+    gold = _made_once(lake, gold)
     history.write_gold(_outdated(gold, table), path, table)
     history.write_gold_day(gold, path, PROCESSING_DATE, table)
     return history.read_gold(lake.spark, path, table)
@@ -378,6 +386,7 @@ def _stored_replaced(lake: Lakehouse, gold: DataFrame, table) -> DataFrame:
 def _stored_upserted(lake: Lakehouse, gold: DataFrame, table) -> DataFrame:
     """What `_upserted` gives, by way of stored tables."""
     folder = lake.folder()
+    gold = _made_once(lake, gold)
     target = _outdated(gold, table).where(~(_on_run_date() & (F.col("unique_aircraft") > 1)))
     history.write_gold(target, f"{folder}/target", table)
     batch = traffic.filter_date(gold, PROCESSING_DATE).where(F.col(table.metric) % 3 != 0)

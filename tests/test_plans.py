@@ -130,3 +130,18 @@ def test_bitmaps_are_made_where_their_numbers_meet(lake):
     text = plan(uniques.daily_bitmaps(lake.enriched, uniques.number_aircraft(lake.silver), "airport"))
     made = text[: text.index("Exchange")]
     assert made.count("bitmap_construct_agg") >= 2 and "REPARTITION_BY_COL" in text
+
+
+@pytest.mark.parametrize("name", ["stored_replace_country", "stored_upsert_route"])
+def test_stored_gold_is_made_once_from_the_tables(spark, folder, name, monkeypatch):
+    from flightlake.sources import tables
+
+    written, write = [], tables._write
+
+    def watched(df, path, *columns):
+        written.append("lineitem.parquet" in plan(df))
+        write(df, path, *columns)
+
+    monkeypatch.setattr(tables, "_write", watched)
+    catalog.run(name, spark, SF)
+    assert len(written) > 1 and not any(written)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.functions.numeric import count_or_zero
@@ -196,31 +196,66 @@ CUBE = ["flight_date", "country", "airport"]
 CUBE_LEVELS = [CUBE, CUBE[:2], CUBE[:1], CUBE[1:], CUBE[1:2], []]
 
 
+def _first_rows() -> dict[str, Column]:
+    """For each level of the cube, whether a row of activity is its aircraft's first one in its group.
+
+    Rows of an aircraft are sorted by place and by date; in either order the groups of some levels
+    lie together, so a row starts one if it differs from the row before. Unknown aircraft count
+    nothing; their rows are spread by a hash.
+    """
+    apart = F.when(F.col("icao24").isNull(), F.xxhash64(*CUBE))
+    by_place = Window.partitionBy("icao24", apart).orderBy(*CUBE[1:])
+    by_date = Window.partitionBy("icao24", apart).orderBy(*CUBE[:2])
+
+    def starts(level: list[str], order) -> Column:
+        same = F.lag(F.lit(True), 1, False).over(order)
+        for column in level:
+            same = same & F.lag(column).over(order).eqNullSafe(F.col(column))
+        return ~same
+
+    found = [
+        F.lit(True) if level == CUBE else starts(level, by_date if CUBE[0] in level else by_place)
+        for level in CUBE_LEVELS
+    ]
+    return {f"first_{i}": first for i, first in enumerate(found)}
+
+
 def kpi_cube(enriched: DataFrame) -> DataFrame:
     """Departures, arrivals, traffic and distinct aircraft at every level of the slicers, in one
     pass over the flights.
 
     `level` has a bit set for each of date (4), country (2) and airport (1) that is summed over.
-    Flights are folded to a row per aircraft, airport and date first; only these rows are copied
-    to the levels, where aircraft are folded again, so distinct counts are plain counts. Unknown
-    aircraft keep their group and count nothing.
+    Flights are folded to a row per aircraft, airport and date first. Each of these rows is marked
+    where it is its aircraft's first one in a level's group, so distinct counts are counts of marks,
+    which add up: rows are folded to one per airport and date before they are copied to the levels.
+    Unknown aircraft keep their group and count nothing.
     """
     activity = airport_activity(enriched)
-    sets = [[F.col(c) for c in (*level, "icao24")] for level in CUBE_LEVELS]
-    per_aircraft = activity.groupingSets(sets, *CUBE, "icao24").agg(
-        # The aircraft is part of every level, so its bit, the lowest, is never set.
-        F.shiftright(F.grouping_id(), 1).alias("level"),
-        F.sum("n_departures").alias("n_departures"),
-        F.sum("n_arrivals").alias("n_arrivals"),
-    )
     known = F.col("icao24").isNotNull()
+    marks = _first_rows()
+    by_airport = (
+        activity.withColumns(marks)
+        .groupBy(*CUBE)
+        .agg(
+            F.sum(F.when(known, F.col("n_departures"))).alias("departures"),
+            F.sum(F.when(known, F.col("n_arrivals"))).alias("arrivals"),
+            *[F.count_if(known & F.col(mark)).alias(mark) for mark in marks],
+        )
+    )
+    sets = [[F.col(c) for c in level] for level in CUBE_LEVELS]
+    aircraft = F.lit(0)
+    for mark, level in zip(marks, CUBE_LEVELS, strict=True):
+        bits = sum(1 << i for i, c in enumerate(reversed(CUBE)) if c not in level)
+        aircraft = F.when(F.grouping_id() == bits, F.sum(mark)).otherwise(aircraft)
     return (
-        per_aircraft.groupBy("level", *CUBE)
+        by_airport.groupingSets(sets, *CUBE)
         .agg(
-            count_or_zero(F.sum(F.when(known, F.col("n_departures")))).alias("departures"),
-            count_or_zero(F.sum(F.when(known, F.col("n_arrivals")))).alias("arrivals"),
-            F.count("icao24").alias("aircraft"),
+            F.grouping_id().alias("level"),
+            count_or_zero(F.sum("departures")).alias("departures"),
+            count_or_zero(F.sum("arrivals")).alias("arrivals"),
+            count_or_zero(aircraft).alias("aircraft"),
         )
+        .select("level", *CUBE, "departures", "arrivals", "aircraft")
         .withColumn("total_traffic", F.col("departures") + F.col("arrivals"))
     )
 

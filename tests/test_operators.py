@@ -328,3 +328,31 @@ def test_flights_without_an_airport_skip_the_salted_join(spark):
 
 def test_salts_follow_the_partitions():
     assert [enrich.salts_for(n) for n in (4, 200, 4096, 10**6)] == [1, 25, 512, 1024]
+
+
+def test_cube_counts_each_aircraft_once_at_every_level(spark):
+    ends = [("EDDF", "DE"), ("EDDM", "DE"), ("LFPG", "FR"), ("XXXX", None), (None, None)]
+    days = [dt.date(2026, 9, 27), dt.date(2026, 9, 28), None]
+    rows = [
+        (days[i % 3], [f"ac{i % 4}", None][i % 5 == 0], *ends[i % 5], *ends[(i * i + i // 7) % 5])
+        for i in range(60)
+    ] + [(days[1], None, "LOWW", "AT", None, None)]
+    enriched = spark.createDataFrame(
+        rows * 2,
+        "flight_date date, icao24 string, departure_airport string, departure_country string,"
+        " arrival_airport string, arrival_country string",
+    )
+    expected = {}
+    for day, aircraft, *places in rows * 2:
+        for role, (airport, country) in enumerate((places[:2], places[2:])):
+            if None in (day, airport, country):
+                continue
+            for level in (0, 1, 3, 4, 5, 7):
+                key = (level, day if level < 4 else None, country if not level & 2 else None)
+                key += (airport if not level & 1 else None,)
+                flights, seen = expected.setdefault(key, ([0, 0], set()))
+                if aircraft is not None:
+                    flights[role] += 1
+                    seen.add(aircraft)
+    got = {tuple(r[:4]): tuple(r[4:]) for r in measures.kpi_cube(enriched).collect()}
+    assert got == {k: (*n, len(seen), sum(n)) for k, (n, seen) in expected.items()}

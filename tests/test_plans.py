@@ -104,6 +104,12 @@ def test_calendar_and_cube_shuffle_once_for_each_grouping(lake):
     assert "HashAggregate" in below[: below.index("Generate")]
 
 
+def test_rows_copied_to_the_levels_have_no_aircraft(lake):
+    text = plan(measures.kpi_cube(lake.enriched))
+    expand = text[text.index("Expand") :].split("\n")[0]
+    assert "flight_date" in expand and "icao24" not in expand
+
+
 def test_dates_of_deliveries_are_read_from_their_own_folders(spark, folder):
     import datetime as dt
 

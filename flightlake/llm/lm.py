@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +42,24 @@ PART = 1024
 
 _START = mixed(np.array([1], np.uint64))[0]
 _END = mixed(np.array([2], np.uint64))[0]
-_REQUEST = "shard int, block long, grams binary, orders binary, counts binary"
-_ANSWER = "block long, shard int, counts binary, tokens long, kinds long"
+_REQUEST = "shard int, block long, grams binary, counts binary"
+_ANSWER = "block long, shard int, level int, counts binary, tokens long, kinds long"
+
+
+def packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, as they wait on disk until every round has read them."""
+    compressor = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        packed = pa.array([compressor.compress(t) for t in texts], pa.binary())
+        yield batch.set_column(batch.schema.get_field_index("text"), "text", packed)
+
+
+def unpacked_texts(docs: pa.Table) -> pa.Array:
+    unpack = zstandard.ZstdDecompressor().decompress
+    raw = pa.array([unpack(t) for t in docs.column("text").to_pylist()], pa.large_binary())
+    # The same bytes as they came, whether or not they are UTF-8.
+    return pa.Array.from_buffers(pa.large_string(), len(raw), raw.buffers())
 
 
 @dataclass
@@ -104,15 +122,16 @@ def own_counts(docs: pa.Table, grams: Grams) -> np.ndarray:
 
 
 def _asked(block: int, shards: int, keys: np.ndarray, orders: np.ndarray, counts: np.ndarray) -> pa.Table:
-    """A block's n-grams with their counts, by ranges of fingerprints."""
+    """A block's n-grams with their counts, by ranges of fingerprints. A count's lowest bit tells
+    whether the n-gram is a single token."""
     cuts = by_range(keys, shards)
+    counts = 2 * counts + (orders == 1)
     parts = list(zip(cuts[:-1], cuts[1:], strict=True))
     return pa.table(
         {
             "shard": pa.array(np.arange(shards, dtype=np.int32)),
             "block": pa.array(np.full(shards, block, np.int64)),
             "grams": pa.array([pack_sorted(keys[a:b]) for a, b in parts], pa.binary()),
-            "orders": pa.array([pack_small(orders[a:b]) for a, b in parts], pa.binary()),
             "counts": pa.array([pack_small(counts[a:b]) for a, b in parts], pa.binary()),
         }
     )
@@ -123,7 +142,7 @@ def _request(order: int, shards: int):
 
     def request(docs: pa.Table) -> pa.Table:
         docs = docs.combine_chunks()
-        grams = read_grams(docs.column("text").combine_chunks(), max(1, order - 1))
+        grams = read_grams(unpacked_texts(docs), max(1, order - 1))
         counts = own_counts(docs, grams)
         return _asked(docs.column("block")[0].as_py(), shards, grams.keys, grams.order, counts)
 
@@ -137,7 +156,7 @@ def _request_longest(order: int, shards: int):
         docs = docs.combine_chunks()
         if docs.num_rows == 0:
             return _asked(0, shards, *np.zeros((3, 0), np.int64)).slice(0, 0)
-        grams = read_grams(docs.column("text").combine_chunks(), order)
+        grams = read_grams(unpacked_texts(docs), order)
         ids = sharable(grams, _first_round(grams, answers))
         counts = own_counts(docs, grams)[ids]
         block = docs.column("block")[0].as_py()
@@ -170,30 +189,34 @@ def sharable(grams: Grams, answered: np.ndarray) -> np.ndarray:
     return ids[(answered[shorter[ends - 1]] > 0) & (answered[shorter[ends]] > 0)]
 
 
-def _answer(requests: pa.Table) -> pa.Table:
+def _answer(level: int):
     """Counts over all blocks, for each block in the order of its request; 0 for n-grams no other
     block asked for, the count of which the block knows."""
-    asked = [unpack_sorted(x.as_py()) for x in requests.column("grams")]
-    counts = np.concatenate([unpack_small(x.as_py()) for x in requests.column("counts")])
-    orders = np.concatenate([unpack_small(x.as_py()) for x in requests.column("orders")])
-    keys, inverse = np.unique(np.concatenate(asked), return_inverse=True)
-    total = np.bincount(inverse, counts, len(keys)).astype(np.int64)
-    kind = np.zeros(len(keys), np.int64)
-    kind[inverse] = orders
-    shared = np.where(np.bincount(inverse, minlength=len(keys)) > 1, total, 0)
-    token = (kind == 1) & (keys != _START) & (total > 0)
-    cuts = np.cumsum([0, *map(len, asked)])
-    own = [shared[inverse[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    n = len(asked)
-    return pa.table(
-        {
-            "block": requests.column("block"),
-            "shard": requests.column("shard"),
-            "counts": pa.array([pack_small(x) for x in own], pa.binary()),
-            "tokens": pa.array(np.full(n, total[token].sum(), np.int64)),
-            "kinds": pa.array(np.full(n, token.sum(), np.int64)),
-        }
-    )
+
+    def answer(requests: pa.Table) -> pa.Table:
+        asked = [unpack_sorted(x.as_py()) for x in requests.column("grams")]
+        counts = np.concatenate([unpack_small(x.as_py()) for x in requests.column("counts")])
+        keys, inverse = np.unique(np.concatenate(asked), return_inverse=True)
+        total = np.bincount(inverse, counts >> 1, len(keys)).astype(np.int64)
+        single = np.zeros(len(keys), bool)
+        single[inverse] = counts & 1
+        shared = np.where(np.bincount(inverse, minlength=len(keys)) > 1, total, 0)
+        token = single & (keys != _START) & (total > 0)
+        cuts = np.cumsum([0, *map(len, asked)])
+        own = [shared[inverse[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        n = len(asked)
+        return pa.table(
+            {
+                "block": requests.column("block"),
+                "shard": requests.column("shard"),
+                "level": pa.array(np.full(n, level, np.int32)),
+                "counts": pa.array([pack_small(x) for x in own], pa.binary()),
+                "tokens": pa.array(np.full(n, total[token].sum(), np.int64)),
+                "kinds": pa.array(np.full(n, token.sum(), np.int64)),
+            }
+        )
+
+    return answer
 
 
 @dataclass
@@ -303,7 +326,7 @@ def _scorer(order: int, prior: float, kept: list[str], schema: pa.Schema):
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if docs.num_rows == 0:
             return schema.empty_table()
-        grams = read_grams(docs.column("text").combine_chunks(), order)
+        grams = read_grams(unpacked_texts(docs), order)
         level = np.asarray(answers.column("level"))
         counts = _first_round(grams, answers.filter(pa.array(level == 1)))
         if order > 1:
@@ -368,11 +391,15 @@ def score(
         text_or_empty(text).alias("text"),
         F.pmod(F.xxhash64(*names), F.lit(blocks)).alias("block"),
     )
-    by_block = dealt.groupBy("block")
+    waiting = T.StructType(
+        [T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in dealt.schema]
+    )
+    by_block = dealt.mapInArrow(packed_texts, waiting).groupBy("block")
 
     def answered(requests: DataFrame, level: int) -> DataFrame:
-        told = requests.groupBy("shard").applyInArrow(frugal(_answer), _ANSWER)
-        return told.withColumn("level", F.lit(level))
+        told = requests.groupBy("shard").applyInArrow(frugal(_answer(level)), _ANSWER)
+        # Dealt by block once: the second round and the scores read the same answers of the first.
+        return told.repartition("block")
 
     answers = first = answered(by_block.applyInArrow(frugal(_request(order, shards)), _REQUEST), 1)
     if order > 1:

@@ -1,6 +1,7 @@
 import collections
 import math
 
+import pyarrow as pa
 import pytest
 import rows as plain
 from pyspark.sql import functions as F
@@ -100,3 +101,16 @@ def test_the_query_scores_with_two_words_of_history(spark):
     assert [r.score for r in got] == pytest.approx([e[4] for e in expected], abs=1e-8)
     # The last word differs by the word before the last two only.
     assert got[3].score > got[2].score
+
+
+def test_texts_wait_compressed_and_answers_are_dealt_once(spark):
+    docs = plain.documents(spark, TEXTS)
+    text = lm.score(docs, F.lit(True))._jdf.queryExecution().executedPlan().toString()
+    above, below = text[: text.index("Union")], text[text.index("Union") :]
+    # Above both rounds' answers only the texts are dealt.
+    assert above.count("Exchange") == 1 and "packed_texts" in above
+    assert "REPARTITION_BY_COL" in below.split("FlatMap")[0]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(["a b", "", "é" * 9999]), "block": [0, 0, 1]})
+    (packed,) = lm.packed_texts(iter([batch]))
+    assert packed.column("text").nbytes < 1000
+    assert lm.unpacked_texts(packed).to_pylist() == batch.column("text").to_pylist()
